@@ -27,3 +27,9 @@ def derive(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
 
 def plain(sql: str) -> str:
     return re.sub(r"\{(\w+)\}", r"\1", sql)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Share a one-file table among all cores; larger tables come split already."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

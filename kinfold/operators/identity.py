@@ -23,23 +23,19 @@ def assign_identity(profiles: DataFrame, clusters: DataFrame,
     attached back by a salted join, so a name shared by a third of all rows
     never lands in one task.
     """
-    ids = clusters.select(F.col("provisionalprimarykey").alias(spec.key), ID)
-    ids = ids.filter(F.col(spec.key).isNotNull())
-    rows = attach(profiles.drop(ID), ids, spec.key)
-    return spread_identity(rows, spec)
-
-
-def spread_identity(rows: DataFrame, spec: PersonSpec = PersonSpec()) -> DataFrame:
     def folded(c: str) -> Column:
         return F.coalesce(F.lower(c), F.lit(fixed.UNKNOWN))
 
-    rows = rows.withColumns({"_f": folded(spec.first), "_l": folded(spec.last),
-                             "_d": F.col(spec.dob).cast("string")})
-    known = (rows.filter(F.col(ID).isNotNull()).groupBy("_f", "_l", "_d")
-             .agg(F.max(ID).alias("_known")))
-    out = attach(rows, known, ["_f", "_l", "_d"], null_safe=True)
-    fallback = F.md5(F.concat_ws("_", "_f", "_l", F.coalesce("_d", F.lit(fixed.NULL_TOKEN))))
-    return out.withColumn(ID, F.coalesce("_known", fallback)).drop("_f", "_l", "_d", "_known")
+    rows = profiles.drop(ID).withColumns({
+        "_f": folded(spec.first), "_l": folded(spec.last),
+        "_d": F.coalesce(F.col(spec.dob).cast("string"), F.lit(fixed.NULL_TOKEN))})
+    person = ["_f", "_l", "_d"]
+    ids = clusters.select(F.col("provisionalprimarykey").alias(spec.key), ID)
+    known = (rows.select(spec.key, *person).join(ids, spec.key)
+             .groupBy(*person).agg(F.max(ID).alias("_known")))
+    out = attach(rows, known, person)
+    fallback = F.md5(F.concat_ws("_", *person))
+    return out.withColumn(ID, F.coalesce("_known", fallback)).drop(*person, "_known")
 
 
 def index_rows(profiles: DataFrame, spec: PersonSpec = PersonSpec()) -> DataFrame:
