@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from . import joining, people, serving, shaping
+from . import joining, people, serving, shaping, travel
 
 
 def catalogue() -> dict:
     """{name: (callable(spark, sf_dir), check SQL or None)}"""
     out: dict = {}
-    for module in (shaping, joining, serving, people):
+    for module in (shaping, joining, serving, people, travel):
         for name, pair in module.QUERIES.items():
             if name in out:
                 raise ValueError(f"two queries named {name}")
