@@ -19,10 +19,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def derive(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
-    """Run a portable SQL text whose tables are written {name}."""
-    names = set(re.findall(r"\{(\w+)\}", sql))
-    return spark.sql(sql, **{n: table(spark, sf_dir, n) for n in names})
+def derive_all(spark: SparkSession, sf_dir: str, texts: dict[str, str]) -> dict[str, DataFrame]:
+    """Run portable SQL texts whose tables are written {name}."""
+    needs = {k: set(re.findall(r"\{(\w+)\}", sql)) for k, sql in texts.items()}
+    loaded = {n: table(spark, sf_dir, n) for n in set().union(*needs.values())}
+    return {k: spark.sql(sql, **{n: loaded[n] for n in needs[k]}) for k, sql in texts.items()}
 
 
 def plain(sql: str) -> str:

@@ -13,7 +13,7 @@ from .. import fixed
 from ..functions.attributes import map_attributes
 from ..operators.shape import apply_predicates, required_columns
 from ..plans import profile, serving
-from .tables import derive, plain
+from .tables import derive_all, plain
 
 QUERIES: dict = {}
 
@@ -192,11 +192,11 @@ AS_OF = "2001-01-01"
 
 
 def entities(spark, sf) -> dict:
-    return {name: derive(spark, sf, sql) for name, sql in ENTITY_SQL.items()}
+    return derive_all(spark, sf, ENTITY_SQL)
 
 
 def registered(spark, sf):
-    return derive(spark, sf, REGISTERED_SQL)
+    return derive_all(spark, sf, {"registered": REGISTERED_SQL})["registered"]
 
 
 def profiles(spark, sf):
@@ -451,7 +451,7 @@ FIELDS = [("origin", "TravelOrigin"), ("destination", "TravelDestination"),
 
 
 def _timeline(key: str, revenue: str, currency: bool) -> str:
-    fields = FIELDS + [("revenue", f"cast({revenue} AS VARCHAR)"), ("record_locator", "RecordLocator"),
+    fields = FIELDS + [("revenue", f"cast(cast({revenue} AS DOUBLE) AS VARCHAR)"), ("record_locator", "RecordLocator"),
                        ("IsCsp", "IsCsp")] + ([("currency", "BookingCurrency")] if currency else [])
     body = ", ".join(f"'\"{name}\":\"' || {sql} || '\"'" for name, sql in fields)
     return (f"(SELECT {key}, '{{' || string_agg('\"' || (rn - 1) || '\":{{' || body || '}}', ',' ORDER BY rn) "

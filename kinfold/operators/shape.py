@@ -56,11 +56,12 @@ def fold_rows(df: DataFrame, key: str, code: str, values: Sequence[str] | None =
     """One row per (key, code): the last one by `order` (by the values if not given)."""
     if values is None:
         values = [c for c in df.columns if c not in (key, code)]
-    order = list(order) if order else list(values)
-    last = F.max_by(F.struct(*values), F.struct(*order)) if order else F.lit(None)
-    return (df.filter(F.col(code).isNotNull())
-              .groupBy(key, code).agg(last.alias("_last"))
-              .select(key, code, *[F.col("_last")[v].alias(v) for v in values]))
+    groups = df.filter(F.col(code).isNotNull()).groupBy(key, code)
+    if len(values) == 1 and not order:
+        return groups.agg(F.max(values[0]).alias(values[0]))
+    last = F.max_by(F.struct(*values), F.struct(*(order or values)))
+    return (groups.agg(last.alias("_last"))
+            .select(key, code, *[F.col("_last")[v].alias(v) for v in values]))
 
 
 def fold_code_values(df: DataFrame, key: str, code: str,

@@ -36,9 +36,11 @@ def main():
         t = time.time()
         try:
             df = fn(spark, sf)
+            df.write.format("noop").mode("overwrite").save()
+            took = time.time() - t
             n = compare(df, con, sql) if sql else df.count()
-            print(f"{'ok' if sql else 'ran':4} {name:28} {n:8} rows {time.time() - t:6.2f}s",
-                  flush=True)
+            print(f"{'ok' if sql else 'ran':4} {name:26} {n:8} rows  spark {took:6.2f}s"
+                  f"  with check {time.time() - t:6.2f}s", flush=True)
         except Exception as e:
             bad += 1
             print(f"FAIL {name:28} {type(e).__name__}: {str(e)[:700]}", flush=True)
