@@ -7,6 +7,7 @@ last name).  The language decides what is known of the birth date.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from .. import fixed
@@ -210,7 +211,7 @@ def similar_spellings(spark, sf):
 SELECT p_first, p_last, dob, first, last, first_right, last_right, first_score, last_score
 FROM pairs""")
 def score_pairs(spark, sf):
-    return resolve.matched_pairs(nodes(spark, sf)).select(
+    return resolve.matched_pairs(nodes(spark, sf).persist(StorageLevel.DISK_ONLY)).select(
         "p_first", "p_last", "dob", "first", "last", "first_right", "last_right",
         "first_score", "last_score")
 
