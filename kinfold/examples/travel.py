@@ -7,6 +7,7 @@ the check SQL starts from the very same rows.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from .. import fixed
@@ -390,7 +391,9 @@ RATES = {"PHP": 1.0, "USD": 0.5, "JPY": 2.0}
 
 def serving_rows(spark, sf):
     rows = serving.serving_rows(serving_input(spark, sf), F.lit(AS_OF).cast("date"), RATES)
-    return rows.withColumn("New_Revenue", F.col("New_Revenue").cast("decimal(18,3)"))
+    rows = rows.withColumn("New_Revenue", F.col("New_Revenue").cast("decimal(18,3)"))
+    # Statistics, histograms and timelines all start from these rows.
+    return rows.persist(StorageLevel.DISK_ONLY)
 
 
 _BANDS = " ".join(f"WHEN a BETWEEN {n} AND {n + 9} THEN '{n}_to_{n + 9}'" for n in range(1, 100, 10))

@@ -24,6 +24,10 @@ def test_query(spark, duck, name):
         compare(df, duck, sql)
     else:
         assert df.count() > 0
+    # Equi joins only: nothing forms a product, not even a broadcast one.
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
+    spark.catalog.clearCache()
 
 
 def test_entry(spark):
