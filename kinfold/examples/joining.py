@@ -120,18 +120,16 @@ def convert_revenue(spark, sf):
                       F.col("Revenue").cast("double").alias("revenue"))
 
 
-STATUS = """(SELECT o_orderpriority AS status_key, min(o_custkey) AS first_cust
-             FROM orders WHERE o_orderpriority <> '5-LOW' GROUP BY 1
-             UNION ALL SELECT 'none', 0)"""
+# '5-LOW' and '3-MEDIUM' exist on the left only, 'none' on the right only.
+STATUS = """(SELECT CASE o_orderpriority WHEN '3-MEDIUM' THEN 'none' ELSE o_orderpriority END
+             AS status_key, min(o_custkey) AS first_cust
+             FROM orders WHERE o_orderpriority <> '5-LOW' GROUP BY 1)"""
 
 
 def _status(spark, sf):
-    known = (table(spark, sf, "orders").filter("o_orderpriority != '5-LOW'")
-             .groupBy(F.col("o_orderpriority").alias("status_key"))
-             .agg(F.min("o_custkey").alias("first_cust")))
-    missing = table(spark, sf, "orders").agg(F.lit("none").alias("status_key"),
-                                             F.lit(0).cast("bigint").alias("first_cust"))
-    return known.unionByName(missing)
+    key = F.when(F.col("o_orderpriority") == "3-MEDIUM", "none").otherwise(F.col("o_orderpriority"))
+    return (table(spark, sf, "orders").filter("o_orderpriority != '5-LOW'")
+            .groupBy(key.alias("status_key")).agg(F.min("o_custkey").alias("first_cust")))
 
 
 @query("salted_join", f"""
@@ -140,7 +138,7 @@ JOIN {STATUS} ON o_orderpriority = status_key""")
 def salted_join(spark, sf):
     orders = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority")
     return joins.salted_join(orders, _status(spark, sf), "o_orderpriority",
-                             "status_key").drop("status_key")
+                             "status_key", rows_per_salt=1000).drop("status_key")
 
 
 @query("salted_left_join", f"""
@@ -149,7 +147,7 @@ LEFT JOIN {STATUS} ON o_orderpriority = status_key""")
 def salted_left_join(spark, sf):
     orders = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority")
     return joins.salted_join(orders, _status(spark, sf), "o_orderpriority", "status_key",
-                             "left").drop("status_key")
+                             "left", rows_per_salt=1000).drop("status_key")
 
 
 @query("salted_full_join", f"""
@@ -157,7 +155,8 @@ SELECT o_orderkey, o_orderpriority, status_key, first_cust FROM orders
 FULL JOIN {STATUS} ON o_orderpriority = status_key""")
 def salted_full_join(spark, sf):
     orders = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority")
-    return joins.salted_join(orders, _status(spark, sf), "o_orderpriority", "status_key", "full")
+    return joins.salted_join(orders, _status(spark, sf), "o_orderpriority", "status_key", "full",
+                             rows_per_salt=1000)
 
 
 @query("master_merge", """

@@ -352,9 +352,14 @@ def ambiguous_people(spark, sf):
     return identity.ambiguous_people(_by_doc(spark, sf))
 
 
-@query("unify_people", None)
+@query("unify_people", CLUSTERS + """,
+folded AS (SELECT m.key, m.dob, c.passenger_hash AS h, coalesce(lower(first_name), 'Unknown') AS f,
+  coalesce(lower(last_name), 'Unknown') AS l
+  FROM mentions m LEFT JOIN clusters c ON m.key = c.provisionalprimarykey)
+SELECT key, coalesce(max(h) OVER (PARTITION BY f, l, dob),
+  md5(f || '_' || l || '_' || coalesce(dob, 'CCAI_NULL'))) AS passenger_hash FROM folded""")
 def unify_people(spark, sf):
-    """Resolution and assignment end to end (the check SQL would repeat both)."""
+    """Resolution and assignment end to end."""
     rows = mentions(spark, sf)
     clusters = stages.resolve_people(rows).clusters.checkpoint()
     return stages.unify_profiles(rows, clusters).profiles.select(

@@ -7,13 +7,14 @@ from collections.abc import Mapping
 from pyspark import StorageLevel
 from pyspark.sql import Column, SparkSession
 
+from ..operators.identity import identity_index
 from ..operators.resolve import PersonSpec
 from ..session import tune
 from ..sources import partitions, sinks
 from .people import resolve_people, unify_profiles
 from .profile import build_profiles
-from .serving import serving_rows, index_milestone, revenue_breakdown, passenger_details, \
-    booker_details
+from .serving import (booker_details, index_milestone, passenger_details, revenue_breakdown,
+                      serving_rows)
 
 # Position of each output in the config's storageDetails.
 PROFILES, CLUSTERS, UNIFIED, SERVING, QUARANTINE, INDEX = range(6)
@@ -65,7 +66,12 @@ class Stages:
                                         include_hi=False)
         unified = unify_profiles(profiles, clusters, old, self.spec())
         out = sinks.write_stage(unified.profiles, self.path(UNIFIED), end)
-        sinks.write_stage(unified.index, self.path(INDEX), end)
+        index = unified.index
+        if old is None:
+            # Build the index from what was just stored instead of once more.
+            stored = partitions.read_stage(self.spark, self.path(UNIFIED), end)
+            index = identity_index(stored, self.spec())
+        sinks.write_stage(index, self.path(INDEX), end)
         return out
 
     def compute_ui(self, day0: str, end: str, as_of: Column | None = None) -> dict[str, str]:
