@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from kinfold.examples.tables import table
 
-from . import exact, lines, mixing, warc
+from . import exact, lines, lm, minhash, mixing, suffix, toxic, warc
 
 
 def op1_warc(spark, sf_dir):
@@ -24,6 +24,11 @@ FROM h
 """
 
 
+def op3_toxicity(spark, sf_dir):
+    out = toxic.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return out.select("doc_id", "held_out", "score", "predicted")
+
+
 def op5_line_dedup(spark, sf_dir):
     out = lines.line_dedup(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_lines", "n_removed", "n_spans",
@@ -46,6 +51,30 @@ FROM m
 """
 
 
+def op6_minhash(spark, sf_dir):
+    return minhash.near_dedup(table(spark, sf_dir, "documents"))
+
+
+OP6_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, sh FROM (SELECT doc_id, unnest(
+        CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+             WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS sh FROM w)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id < b.doc_id
+      GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r(doc_id, root) AS (SELECT doc_id, doc_id FROM documents
+                    UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.doc_id)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.root AS component_id, d.doc_id = c.root AS kept
+FROM documents d LEFT JOIN n USING (doc_id)
+JOIN (SELECT doc_id, min(root) AS root FROM r GROUP BY doc_id) c ON c.doc_id = d.doc_id
+"""
+
+
 def op7_exact_dedup(spark, sf_dir):
     return exact.exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -59,13 +88,26 @@ FROM documents
 """
 
 
+def op8_language_model(spark, sf_dir):
+    return lm.log_likelihood(table(spark, sf_dir, "documents"))
+
+
+def op9_suffix_array(spark, sf_dir):
+    out = suffix.remove_repeats(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op10_mixing(spark, sf_dir):
     return mixing.mixed_sizes(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
     "op1_warc": (op1_warc, OP1_SQL),
+    "op3_toxicity": (op3_toxicity, None),
     "op5_line_dedup": (op5_line_dedup, OP5_SQL),
+    "op6_minhash": (op6_minhash, OP6_SQL),
     "op7_exact_dedup": (op7_exact_dedup, OP7_SQL),
+    "op8_language_model": (op8_language_model, None),
+    "op9_suffix_array": (op9_suffix_array, None),
     "op10_mixing": (op10_mixing, None),
 }
