@@ -68,7 +68,9 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              keep: str = "max") -> DataFrame:
-    """The documents that stay, with all their columns."""
-    ids = (exact_dedup(docs, id_col, text_col, keep).filter("kept")
-           .select(F.col("doc_id").alias("_stays")).distinct())
-    return docs.join(ids, docs[id_col].eqNullSafe(ids["_stays"]), "left_semi")
+    """The documents that stay, with all their columns.  Rows of one id and text stay or go
+    together."""
+    stays = (exact_dedup(docs, id_col, text_col, keep).filter("kept")
+             .select(F.col("doc_id").alias("_stays"), F.col("text_sha256").alias("_sha")).distinct())
+    sha = F.sha2(F.coalesce(docs[text_col], F.lit("")).cast("binary"), 256)
+    return docs.join(stays, docs[id_col].eqNullSafe(stays["_stays"]) & (sha == stays["_sha"]), "left_semi")

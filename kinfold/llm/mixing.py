@@ -237,3 +237,32 @@ def mixed_sizes(docs: DataFrame, **options) -> DataFrame:
                   F.col("source").eqNullSafe(F.col("_p")))
             .select("doc_id", "size", "source_size", "target",
                     F.coalesce("taken", F.lit(0)).cast("long").alias("taken")))
+
+
+def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                    source_col: str = "source", chars_col: str = "n_chars", **options) -> DataFrame:
+    """The mix as documents, with the columns of `docs`: a row per document and epoch.
+
+    A document taken whole keeps its text; of one taken in part, the words taken stay in
+    order, each with the white space after it.  Documents of which nothing is taken are not
+    in the mix.  Rows that share id, source and size are told apart by nothing: each takes
+    the spans of all of them.
+    """
+    _, _, spans = mix(docs, id_col=id_col, text_col=text_col, source_col=source_col, **options)
+    cuts = (spans.groupBy("source", "doc_id", "start", "size", "epoch")
+            .agg(F.sum("taken").alias("taken"), F.sort_array(F.collect_list(F.struct("first", "taken"))).alias("cuts"))
+            .select("doc_id", F.col("source").alias("of"), "size", "taken", "cuts"))
+    # the input's columns by place, so that none can clash
+    place = {c: f"in_{i}" for i, c in enumerate(docs.columns)}
+    whole = F.col(place[text_col])
+    met = docs.toDF(*place.values()).join(
+        cuts, F.col(place[id_col]).eqNullSafe(F.col("doc_id")) & F.col(place[source_col]).eqNullSafe(F.col("of"))
+        & (F.regexp_count(whole, F.lit(WORD)) == F.col("size")))
+    # words with the white space after them, and places of those taken: first is 0-based
+    words = F.regexp_extract_all(whole, F.lit(f"({WORD}[\\x20\\x09-\\x0D]*)"), F.lit(1))
+    part = F.array_join(F.flatten(F.transform("cuts", lambda c: F.slice(
+        words, (c["first"] + 1).cast("int"), c["taken"].cast("int")))), "")
+    shaped = met.withColumn("out", F.when(F.col("taken") == F.col("size"), whole).otherwise(part))
+    return shaped.select(*[F.col("out").alias(c) if c == text_col
+                           else F.length("out").cast(docs.schema[c].dataType).alias(c) if c == chars_col
+                           else F.col(place[c]).alias(c) for c in docs.columns])

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from kinfold.examples.tables import table
 
-from . import exact, lines, lm, minhash, mixing, suffix, toxic, warc
+from . import cover, exact, lines, lm, minhash, mixing, pieces, suffix, toxic, warc
 
 
 def op1_warc(spark, sf_dir):
@@ -24,11 +24,34 @@ FROM h
 """
 
 
+def op2_cover_tree(spark, sf_dir):
+    return cover.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+OP2_SQL = """
+WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda c: c IS NULL OR isnan(c) OR isinf(c))) = 0
+    AND len(list_filter(embedding, lambda c: c <> 0)) > 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.x) = len(b.x)
+      WHERE list_cosine_similarity(a.x, b.x) >= 0.95),
+n AS (SELECT a, count(*) AS n FROM l GROUP BY a),
+r(vec_id, root) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT l.b, r.root FROM r JOIN l ON l.a = r.vec_id),
+c AS (SELECT vec_id, min(root) AS root FROM r GROUP BY vec_id)
+SELECT e.vec_id, coalesce(n.n, 0) AS n_links, c.root AS component_id, e.vec_id = c.root AS kept
+FROM embeddings e JOIN c USING (vec_id) LEFT JOIN n ON n.a = e.vec_id
+"""
+
+
 def op3_toxicity(spark, sf_dir):
     out = toxic.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return out.select("doc_id", "held_out", "score", "predicted")
 
 
+def op4_pieces(spark, sf_dir):
+    return pieces.summary(pieces.encode(table(spark, sf_dir, "documents")))
+
+
 def op5_line_dedup(spark, sf_dir):
     out = lines.line_dedup(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_lines", "n_removed", "n_spans",
@@ -103,7 +126,9 @@ def op10_mixing(spark, sf_dir):
 
 QUERIES = {
     "op1_warc": (op1_warc, OP1_SQL),
+    "op2_cover_tree": (op2_cover_tree, OP2_SQL),
     "op3_toxicity": (op3_toxicity, None),
+    "op4_pieces": (op4_pieces, None),
     "op5_line_dedup": (op5_line_dedup, OP5_SQL),
     "op6_minhash": (op6_minhash, OP6_SQL),
     "op7_exact_dedup": (op7_exact_dedup, OP7_SQL),
