@@ -37,7 +37,8 @@ from .shingles import mix
 LENGTH = 100         # bytes of a repeated string
 GRAM = 32            # bytes of an anchor
 STEP = 1 << 18       # bytes hashed at once; longer texts are cut with overlaps
-FLUSH = 1 << 20      # anchors that a task holds before it sends them on
+FLUSH = 1 << 19      # anchors that a task holds before it sends them on
+SHARD_BYTES = 1 << 21  # of contexts that one suffix array sorts, about
 
 _ODD = 0x9E3779B97F4A7C15
 _INVERSE = pow(_ODD, -1, 1 << 64)
@@ -286,7 +287,7 @@ def _doubling(names: np.ndarray) -> np.ndarray:
         second = np.full(n, 0, np.int64)
         second[: n - k] = rank[k:] + 1
         key = rank * (n + 2) + second
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         sorted_ = key[order]
         rank = np.empty(n, np.int64)
         rank[order] = np.concatenate([[0], np.cumsum(sorted_[1:] != sorted_[:-1])])
@@ -326,8 +327,7 @@ def suffix_array(text: np.ndarray, size: int, powers: Powers) -> np.ndarray:
         names = np.empty(n, np.int64)
         names[sorted_] = name
         sorted_ = lms[_doubling(names[lms])]
-        order = induce(text, smaller, sorted_, size)
-    return order
+    return induce(text, smaller, sorted_, size)
 
 
 def common_prefixes(data: np.ndarray, at: np.ndarray, before: np.ndarray, most: int) -> np.ndarray:
@@ -349,8 +349,38 @@ def common_prefixes(data: np.ndarray, at: np.ndarray, before: np.ndarray, most:
     return out
 
 
+def may_repeat(doc: np.ndarray, lo: np.ndarray, contexts: list[bytes], length: int = LENGTH) -> np.ndarray:
+    """Contexts with a string whose hash also occurs at another place; the rest cannot
+    matter and need no sorting."""
+    sizes = np.array([len(c) for c in contexts], np.int64)
+    body = np.frombuffer(b"".join(contexts), np.uint8)
+    owner = np.repeat(np.arange(len(sizes), dtype=np.int32), np.maximum(0, sizes - length + 1))
+    if not len(owner):
+        return np.zeros(len(sizes), bool)
+    start = np.cumsum(sizes) - sizes
+    first = np.cumsum(np.maximum(0, sizes - length + 1)) - np.maximum(0, sizes - length + 1)
+    inside = np.arange(len(owner)) - first[owner]
+    up, down = Powers()(len(body) + 1)
+    total = np.zeros(len(body) + 1, np.uint64)
+    np.cumsum(BYTE_VALUES[body] * up[:len(body)], out=total[1:])
+    at = start[owner] + inside
+    value = (total[at + length] - total[at]) * down[at]
+    place = mix(mix(doc.astype(np.uint64))[owner] + (lo[owner] + inside).astype(np.uint64))
+    order = np.argsort(value)
+    value, place = value[order], place[order]
+    begin = np.flatnonzero(np.append(True, value[1:] != value[:-1]))
+    several = np.minimum.reduceat(place, begin) != np.maximum.reduceat(place, begin)
+    out = np.zeros(len(sizes), bool)
+    out[owner[order[np.repeat(several, np.diff(np.append(begin, len(value))))]]] = True
+    return out
+
+
 def repeated_in_shard(doc: np.ndarray, lo: np.ndarray, contexts: list[bytes], length: int = LENGTH) -> np.ndarray:
     """Spans of all strings of `length` bytes that also start earlier in these contexts."""
+    live = np.flatnonzero(may_repeat(doc, lo, contexts, length))
+    if not len(live):
+        return np.empty(0, SPAN)
+    doc, lo, contexts = doc[live], lo[live], [contexts[i] for i in live.tolist()]
     sizes = np.array([len(c) for c in contexts], np.int64)
     body = np.frombuffer(b"\0".join(contexts) + b"\0", np.uint8)
     start = np.concatenate([[0], np.cumsum(sizes + 1)[:-1]])
@@ -365,10 +395,12 @@ def repeated_in_shard(doc: np.ndarray, lo: np.ndarray, contexts: list[bytes], le
     order = order[whole[order]]                               # strings that fit their context
     if len(order) < 2:
         return np.empty(0, SPAN)
-    by_text = np.argsort(order[1:], kind="stable")            # permuted: text order
-    equal = np.empty(len(order), bool)
-    equal[0] = False
-    equal[1 + by_text] = common_prefixes(body, order[1:][by_text], order[:-1][by_text], length) >= length
+    before = np.full(len(body), -1, np.int64)                 # permuted: text order
+    before[order[1:]] = order[:-1]
+    at = np.flatnonzero(before >= 0)
+    same = np.zeros(len(body), bool)
+    same[at] = common_prefixes(body, at, before[at], length) >= length
+    equal = same[order]
     group = np.cumsum(~equal) - 1
     docs, rank = np.unique(doc, return_inverse=True)
     place = lo[owner[order]] + inside[order]
@@ -415,9 +447,11 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
         _meet, "doc_id long, lo long, hi long, gram long, open boolean"))
     opens = (met.filter("open").groupBy(F.col("doc_id").alias("_id"))
              .agg(F.collect_list(F.struct("gram", "lo", "hi")).alias("opens")))
+    n_bytes = met.filter("open").agg(F.sum(F.col("hi") - F.col("lo"))).first()[0] or 0
+    shards = max(shares, -(-n_bytes // SHARD_BYTES))
     rows = (known.join(opens, F.col("doc_id") == F.col("_id")).select("doc_id", "text", "opens")
             .mapInArrow(_contexts, "gram long, doc_id long, lo long, context binary"))
-    shard = F.pmod(F.xxhash64("gram"), F.lit(shares)).alias("shard")
+    shard = F.pmod(F.xxhash64("gram"), F.lit(shards)).alias("shard")
     sorted_ = rows.groupBy(shard).applyInArrow(_sort_shard, "doc_id long, lo long, hi long")
     return met.filter("not open").select("doc_id", "lo", "hi").unionByName(sorted_)
 
