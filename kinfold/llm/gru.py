@@ -5,10 +5,11 @@ from __future__ import annotations
 
 import numpy as np
 
-EMBED, HIDDEN = 16, 24
-CLASSES, MEMBERS = 36, 36          # words of the model: CLASSES * MEMBERS
-STREAMS, WINDOW = 192, 16          # of training: parallel rows and steps of one update
+EMBED, HIDDEN = 16, 16
+CLASSES, MEMBERS = 24, 24          # words of the model: CLASSES * MEMBERS
+STREAMS, WINDOW = 384, 16          # of training: parallel rows and steps of one update
 SCORE_ROWS, SCORE_WINDOW = 512, 48
+LARGEST = 4.0                      # of a weight
 END, UNK = 0, 1                    # model words that always exist
 
 f32 = np.float32
@@ -68,19 +69,20 @@ class Model:
         return out
 
     def log_probs(self, states: np.ndarray, targets: np.ndarray) -> np.ndarray:
-        """Natural log probability of each target after each state (rows of HIDDEN)."""
+        """Natural log probability of each target after each state (rows of HIDDEN).
+
+        States lie in -1..1 and LARGEST bounds the weights, so exp needs no shift.
+        """
         kind, member = targets // MEMBERS, targets % MEMBERS
         logits = states @ self.wc + self.bc
-        top = logits.max(1)
-        out = logits[np.arange(len(kind)), kind] - top - np.log(np.exp(logits - top[:, None]).sum(1))
+        out = logits[np.arange(len(kind)), kind] - np.log(np.exp(logits).sum(1))
         order = np.argsort(kind, kind="stable")
         cut = np.searchsorted(kind[order], np.arange(CLASSES + 1))
         for c in range(CLASSES):
             rows = order[cut[c]:cut[c + 1]]
             if len(rows):
                 x = states[rows] @ self.ww[c] + self.bw[c]
-                top = x.max(1)
-                out[rows] += x[np.arange(len(rows)), member[rows]] - top - np.log(np.exp(x - top[:, None]).sum(1))
+                out[rows] += x[np.arange(len(rows)), member[rows]] - np.log(np.exp(x).sum(1))
         return out
 
     def gradient(self, inputs, targets, h) -> tuple[Model, np.ndarray, float]:
@@ -92,7 +94,6 @@ class Model:
         flat, goal = states.reshape(-1, HIDDEN), targets.ravel()
         kind, member, n = goal // MEMBERS, goal % MEMBERS, T * B
         p = flat @ self.wc + self.bc
-        p -= p.max(1, keepdims=True)
         np.exp(p, out=p)
         p /= p.sum(1, keepdims=True)
         rows = np.arange(n)
@@ -109,7 +110,6 @@ class Model:
                 continue
             x, own = flat[at], np.arange(len(at))
             q = x @ self.ww[c] + self.bw[c]
-            q -= q.max(1, keepdims=True)
             np.exp(q, out=q)
             q /= q.sum(1, keepdims=True)
             loss -= np.log(np.maximum(q[own, member[at]], 1e-30)).sum()
@@ -178,6 +178,9 @@ class Trainer:
         self.v += 0.001 * (g * g - self.v)
         fix = np.sqrt(1 - 0.999 ** self.steps) / (1 - 0.9 ** self.steps)
         self.model.flat -= (self.rate * fix) * self.m / (np.sqrt(self.v) + 1e-6)
+        for name in ("emb", "wx", "u", "wc", "ww"):
+            view = getattr(self.model, name)
+            np.clip(view, -LARGEST, LARGEST, out=view)
 
 
 def score(model: Model, documents: list[np.ndarray]) -> np.ndarray:

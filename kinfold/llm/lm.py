@@ -158,8 +158,8 @@ def score_documents(docs: DataFrame, lexicon, flat: np.ndarray) -> DataFrame:
         end = place[END]
         kind = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())]))
         for whole in batches:
-            for first in range(0, whole.num_rows, 4096):
-                batch = whole.slice(first, 4096)
+            for first in range(0, whole.num_rows, 10_000):
+                batch = whole.slice(first, 10_000)
                 tokens, n_head, log_counts, log_other, n_rest, rest, sequences = [], [], [], [], [], [], []
                 for text in batch.column(1).to_pylist():
                     parts = words(text)
