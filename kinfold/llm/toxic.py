@@ -215,7 +215,9 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
              .select(F.col(f"`{label_id}`").alias("_id"), F.col(f"`{label_col}`").cast("int").alias("toxic")))
     known = known.filter(split_group(F.col("_id"), FOLDS) != HELD_OUT).groupBy("_id").agg(F.max("toxic").alias("toxic"))
     learnt = rows.filter(split_group(F.col("doc_id"), FOLDS) != HELD_OUT)
-    counted = token_counts(learnt.join(known, F.col("doc_id") == F.col("_id"))).toPandas()  # at most BUCKETS rows
+    # Labels grow with the texts, so both sides are dealt by id whatever their size.
+    labelled = learnt.join(known.hint("merge"), F.col("doc_id") == F.col("_id"))
+    counted = token_counts(labelled).toPandas()          # at most BUCKETS rows
     toxic, clean = np.zeros(BUCKETS), np.zeros(BUCKETS)
     toxic[counted["bucket"]], clean[counted["bucket"]] = counted["toxic"], counted["clean"]
     odds = token_odds(toxic, clean)
