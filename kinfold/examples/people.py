@@ -91,7 +91,7 @@ def phonetic_sql(c: str) -> str:
     copied = "DFJKMNPTVLYRSX"
     out = f"translate({out}, '{copied}', '{copied.lower()}')"
     code = f"substring(upper(regexp_replace({out}, '[^a-z]', '', 'g')), 1, 6)"
-    return f"coalesce(CASE WHEN length({c}) > 3 THEN {code} ELSE {c} END, 'CCAI_NULL')"
+    return f"coalesce(CASE WHEN length({c}) > 3 THEN {code} ELSE {c} END, '{fixed.NULL_TOKEN}')"
 
 
 def in_list(values) -> str:
@@ -101,8 +101,8 @@ def in_list(values) -> str:
 # One row per distinct name first, so that the long rule chain runs once per name.
 PEOPLE = MENTIONS + f""",
 named AS (SELECT key, {name_sql("first_name", True)} AS f, {name_sql("last_name", False)} AS l,
-   coalesce(CASE WHEN dob LIKE '%xxx%' THEN 'CCAI_NULL' ELSE dob END, 'CCAI_NULL') AS dob
-   FROM (SELECT * REPLACE (CASE WHEN first_name = 'Unknown' THEN 'CCAI_NULL' ELSE first_name END
+   coalesce(CASE WHEN dob LIKE '%xxx%' THEN '{fixed.NULL_TOKEN}' ELSE dob END, '{fixed.NULL_TOKEN}') AS dob
+   FROM (SELECT * REPLACE (CASE WHEN first_name = 'Unknown' THEN '{fixed.NULL_TOKEN}' ELSE first_name END
          AS first_name) FROM mentions)),
 real AS (SELECT * FROM named WHERE replace(f, ' ', '') NOT IN ({in_list(fixed.FIRST_NAME_PLACEHOLDERS)})
    AND l NOT IN ({in_list(fixed.LAST_NAME_PLACEHOLDERS)})),
@@ -120,7 +120,8 @@ people AS (SELECT *, md5(p_first || p_last) AS group_hash FROM
 NODES = PEOPLE + """,
 sane AS (SELECT * FROM people WHERE NOT (p_first IN ('TV') AND p_last IN ('TV', 'PX'))),
 nodes AS (SELECT group_hash, p_first, p_last, dob, first, last, min(key) AS rep,
-   min(member) AS member, count(*) AS n_rows FROM sane GROUP BY ALL)"""
+   min(member) AS member, count(*) AS n_rows FROM sane
+   WHERE first <> '' AND last <> '' AND p_first <> '' AND p_last <> '' GROUP BY ALL)"""
 
 PAIRS = NODES + """,
 pairs AS (SELECT * FROM (
@@ -169,6 +170,29 @@ def name_normalise(spark, sf):
         text.strip_honorific(first).alias("bare"))
 
 
+# Customer numbers written in four scripts; the expected syllables are written by hand.
+SCRIPTS = {"абвгдежзий": "a b v g d e zh z i y", "αβγδεηθλφψ": "a v g d e i th l f ps",
+           "かきくけこシチツヘヴ": "ka ki ku ke ko shi chi tsu he vu", "가난도류을합격빛꽃뛰": "ga nan do ryu eul hap gyeok bit kkot ttwi"}
+
+
+def _digits_sql(letters: list[str]) -> str:
+    items = ", ".join(f"'{x}'" for x in letters)
+    return (f"array_to_string(list_transform(string_split(cast(c_custkey AS VARCHAR), ''), "
+            f"lambda d: ([{items}])[cast(d AS INTEGER) + 1]), '')")
+
+
+@query("transliterate_scripts", f"""SELECT c_custkey, CASE c_custkey % 4
+ {" ".join(f"WHEN {i} THEN {_digits_sql(v.split())}" for i, v in enumerate(SCRIPTS.values()))} END AS name
+FROM customer""")
+def transliterate_scripts(spark, sf):
+    digits = F.col("c_custkey").cast("string")
+    name = F.lit(None)
+    for i, letters in enumerate(SCRIPTS):
+        name = F.when(F.col("c_custkey") % 4 == i, F.translate(digits, "0123456789", letters)).otherwise(name)
+    return table(spark, sf, "customer").select(
+        "c_custkey", text.normalise_name(text.transliterate(name), False).alias("name"))
+
+
 STOP_FIRST, STOP_LAST = ["the", "de", "und", "que"], ["of", "la", "der", "el"]
 
 
@@ -218,16 +242,15 @@ def score_pairs(spark, sf):
 
 @query("components", """
 WITH RECURSIVE e AS (SELECT DISTINCT o_custkey AS u, -o_custkey - 1 AS v FROM orders
-   WHERE o_orderpriority <> '5-LOW'
-  UNION SELECT DISTINCT c_custkey, -c_nationkey - 100000 FROM customer WHERE c_mktsegment = 'MACHINERY'),
+  UNION SELECT DISTINCT c_custkey, -c_nationkey - 100000 FROM customer),
 links AS (SELECT u, v FROM e UNION SELECT v, u FROM e),
 reach(u, v) AS (SELECT u, v FROM links
   UNION SELECT r.u, l.v FROM reach r JOIN links l ON r.v = l.u)
 SELECT u AS vertex, least(u, min(v)) AS component FROM reach GROUP BY u""")
 def components(spark, sf):
-    bought = table(spark, sf, "orders").filter("o_orderpriority != '5-LOW'").select(
+    bought = table(spark, sf, "orders").select(
         F.col("o_custkey").alias("src"), (-F.col("o_custkey") - 1).alias("dst"))
-    near = table(spark, sf, "customer").filter("c_mktsegment = 'MACHINERY'").select(
+    near = table(spark, sf, "customer").select(
         F.col("c_custkey").alias("src"), (-F.col("c_nationkey") - 100000).cast("bigint").alias("dst"))
     return resolve.connected_components(bought.unionByName(near))
 
@@ -247,7 +270,7 @@ folded AS (SELECT *, first_name AS lf,
    coalesce(lower(first_name), 'Unknown') AS f, coalesce(lower(last_name), 'Unknown') AS l FROM seeded),
 assigned AS (SELECT key, first_name, last_name, dob, source, coalesce(
    max(seed) OVER (PARTITION BY f, l, dob),
-   md5(f || '_' || l || '_' || coalesce(dob, 'CCAI_NULL'))) AS passenger_hash FROM folded)"""
+   md5(f || '_' || l || '_' || coalesce(dob, '{fixed.NULL_TOKEN}'))) AS passenger_hash FROM folded)"""
 
 
 # The id of a mention goes to everyone of that name; other people get a fallback.
@@ -275,14 +298,15 @@ eligible AS (SELECT key, {name_sql("first_name", True)} AS f, {name_sql("last_na
    AND dob IS NOT NULL AND dob NOT LIKE '%xxx%'),
 real AS (SELECT * FROM eligible WHERE
    f NOT IN ({in_list(fixed.FIRST_NAME_PLACEHOLDERS + fixed.INDEX_EXTRA_PLACEHOLDERS)})
-   AND l NOT IN ({in_list(fixed.LAST_NAME_PLACEHOLDERS + fixed.INDEX_EXTRA_PLACEHOLDERS)})),
+   AND l NOT IN ({in_list(fixed.LAST_NAME_PLACEHOLDERS + fixed.INDEX_EXTRA_PLACEHOLDERS)})
+   AND f <> '' AND l <> ''),
 fk AS (SELECT f, bare, trim({phonetic_sql("tok")}) AS code FROM
    (SELECT f, bare, string_split(bare, ' ')[1] AS tok FROM
      (SELECT f, {bare_sql("f")} AS bare FROM (SELECT DISTINCT f FROM real)))),
 lk AS (SELECT l, trim(lower({phonetic_sql("l")})) AS code FROM (SELECT DISTINCT l FROM real)),
-observed AS (SELECT key, source, CASE WHEN dob LIKE '9999%' THEN fk.bare ELSE fk.code END AS pf,
+observed AS (SELECT * FROM (SELECT key, source, CASE WHEN dob LIKE '9999%' THEN fk.bare ELSE fk.code END AS pf,
    CASE WHEN dob LIKE '9999%' THEN r.l ELSE lk.code END AS pl, dob, passenger_hash
-   FROM real r JOIN fk ON r.f = fk.f JOIN lk ON r.l = lk.l)"""
+   FROM real r JOIN fk ON r.f = fk.f JOIN lk ON r.l = lk.l) WHERE pf <> '' AND pl <> '')"""
 
 
 @query("identity_index", f"""WITH {INDEXED}
@@ -353,12 +377,12 @@ def ambiguous_people(spark, sf):
     return identity.ambiguous_people(_by_doc(spark, sf))
 
 
-@query("unify_people", CLUSTERS + """,
+@query("unify_people", CLUSTERS + f""",
 folded AS (SELECT m.key, m.dob, c.passenger_hash AS h, coalesce(lower(first_name), 'Unknown') AS f,
   coalesce(lower(last_name), 'Unknown') AS l
   FROM mentions m LEFT JOIN clusters c ON m.key = c.provisionalprimarykey)
 SELECT key, coalesce(max(h) OVER (PARTITION BY f, l, dob),
-  md5(f || '_' || l || '_' || coalesce(dob, 'CCAI_NULL'))) AS passenger_hash FROM folded""")
+  md5(f || '_' || l || '_' || coalesce(dob, '{fixed.NULL_TOKEN}'))) AS passenger_hash FROM folded""")
 def unify_people(spark, sf):
     """Resolution and assignment end to end."""
     rows = mentions(spark, sf)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from .. import fixed
 from ..functions import text
 from .joins import attach
-from .resolve import PersonSpec, _first_key, _last_key, reject_placeholders
+from .resolve import PersonSpec, _first_key, _last_key, has_name, reject_placeholders
 
 ID = "passenger_hash"
 
@@ -39,7 +39,10 @@ def assign_identity(profiles: DataFrame, clusters: DataFrame,
 
 
 def index_rows(profiles: DataFrame, spec: PersonSpec = PersonSpec()) -> DataFrame:
-    """Eligible rows in index form: key, pFirstName, pLastName, DateOfBirth, id."""
+    """Eligible rows in index form: key, pFirstName, pLastName, DateOfBirth, id.
+
+    Rows with an empty name or key stay out; they would match every other such row.
+    """
     dob = F.col(spec.dob).cast("string")
     known = profiles.filter(F.col(spec.first).isNotNull() & F.col(spec.last).isNotNull()
                             & dob.isNotNull() & ~dob.like(fixed.MASKED_DOB))
@@ -53,10 +56,11 @@ def index_rows(profiles: DataFrame, spec: PersonSpec = PersonSpec()) -> DataFram
         [*spec.first_placeholders, *fixed.INDEX_EXTRA_PLACEHOLDERS],
         [*spec.last_placeholders, *fixed.INDEX_EXTRA_PLACEHOLDERS])
     born = F.col("DateOfBirth")
+    rows = rows.filter(has_name("first", "last"))
     return rows.select(
         "ProvisionalPrimaryKey", _first_key(F.col("first"), born).alias("pFirstName"),
         _last_key(F.col("last"), born, lower_key=True).alias("pLastName"),
-        "DateOfBirth", ID)
+        "DateOfBirth", ID).filter(has_name("pFirstName", "pLastName"))
 
 
 def identity_index(profiles: DataFrame, spec: PersonSpec = PersonSpec()) -> DataFrame:
@@ -72,7 +76,7 @@ def carry_over(profiles: DataFrame, old_index: DataFrame,
     """
     observed = index_rows(profiles, spec).withColumn("_dob", F.trim("DateOfBirth"))
     block = ["pFirstName", "pLastName", "_dob"]
-    old = (old_index.withColumn("_dob", F.trim(F.col("DateOfBirth").cast("string")))
+    old = (old_index.filter(has_name("pFirstName", "pLastName")).withColumn("_dob", F.trim(F.col("DateOfBirth").cast("string")))
            .groupBy(*block).agg(F.max(ID).alias("_old")))
     seen = observed.select(*block, ID).distinct().join(old, block)
     overrides = seen.groupBy(ID).agg(F.max("_old").alias("_old"))
