@@ -14,6 +14,7 @@ from .. import fixed
 from ..functions.attributes import map_attributes
 from ..operators.shape import apply_predicates, required_columns
 from ..plans import profile, serving
+from ..plans.people import unify_profiles
 from .tables import derive_all, plain
 
 QUERIES: dict = {}
@@ -225,9 +226,16 @@ def _fold(entity: str, key: str, code: str, values: list[str]) -> str:
             f"GROUP BY 1, 2) GROUP BY 1)")
 
 
+# The check's own list: entity, key, code, folded values.
+_MAPS = {"all_bookingcontact": ("BookingID", "TypeCode", ["FirstName", "Address1", "City"]),
+         "all_passengertraveldoc": ("PassengerID", "DocTypeCode", ["DocNumber"]),
+         "all_fee": ("PassengerID", "FeeCode", ["Name"]),
+         "all_traveldoc": ("PersonID", "DocTypeCode", ["DocNumber"]),
+         "all_personphone": ("PersonID", "TypeCode", ["PhoneNumber"])}
+
+
 def _folded(entity: str) -> str:
-    key, code = profile.FOLDED[entity]
-    values = [c for c in required_columns(CONFIG)[entity] if c not in (key, code)]
+    key, code, values = _MAPS[entity]
     source = "named_fee" if entity == "all_fee" else entity
     return f"{entity}_map AS {_fold(source, key, code, values)}"
 
@@ -254,7 +262,7 @@ named_fee AS (SELECT PassengerID, f.FeeCode, n.Name FROM all_passengerfee f
 {_latest("all_traveldoc", "PersonID")},
 {_path("legs", "all_passengerjourneyleg", "SegmentID, LegNumber", "UnitDesignator")},
 {_path("stops", "all_passengerjourneysegment", "JourneyNumber, SegmentNumber", "ArrivalStation")},
-{", ".join(_folded(e) for e in profile.FOLDED)},
+{", ".join(_folded(e) for e in _MAPS)},
 party AS (SELECT BookingID, CASE WHEN count(DISTINCT PassengerID) > 1 THEN 'Group' ELSE 'Solo' END
   AS TravelSoloOrGroup FROM all_bookingpassenger GROUP BY 1),
 wide AS (SELECT b.BookingID, b.RecordLocator, b.BookingUTC, b.Revenue, b.CurrencyCode, b.ChannelType,
@@ -357,13 +365,13 @@ def profile_build(spark, sf):
 
 
 @query("attribute_mapping", f"""WITH {JOINED}
-SELECT * FROM mapped WHERE PassengerID IS NOT NULL""")
+SELECT * FROM mapped""")
 def attribute_mapping(spark, sf):
     """All 31 attribute rules on the joined rows, before the collapse."""
     raw = apply_predicates(entities(spark, sf))
     tables = profile.fold_entities(profile.derive_tables(raw), needed=required_columns(CONFIG))
     rows = map_attributes(profile.join_entities(tables), RULES, CONFIG["columnMapping"])
-    rows = rows.filter("PassengerID IS NOT NULL").select(*COLUMNS)
+    rows = rows.select(*COLUMNS)
     return rows.withColumns({"Phone": F.regexp_replace("Phone", "[^0-9]", ""),
                              "BookingDate": F.col("BookingDate").cast("date")})
 
@@ -379,9 +387,10 @@ def serving_input(spark, sf):
              "DateOfBirth": F.when(F.col("LastName") == "A", fixed.UNKNOWN)
                              .otherwise(F.col("TravelDate")),
              "Zipcode": F.col("GoID"), "Nationality": F.col("LastName"),
-             "City": F.col("BookerCity"), "State": F.lit("S"),
-             "passenger_hash": F.md5(F.concat_ws("|", "FirstName", "LastName"))}
-    rows = rows.withColumns(named)
+             "City": F.col("BookerCity"), "State": F.lit("S")}
+    # The identity stage without clusters: everyone gets the fallback identity.
+    nobody = spark.createDataFrame([], "provisionalprimarykey string, passenger_hash string")
+    rows = unify_profiles(rows.withColumns(named), nobody).profiles
     # Decimal revenue, so that sums do not depend on the order of the rows.
     return rows.withColumn("Revenue", F.col("Revenue").cast("decimal(18,2)"))
 
@@ -398,14 +407,15 @@ def serving_rows(spark, sf):
 
 _BANDS = " ".join(f"WHEN a BETWEEN {n} AND {n + 9} THEN '{n}_to_{n + 9}'" for n in range(1, 100, 10))
 SERVED = f"""{PROFILES},
-named AS (SELECT *, NULL::VARCHAR AS MiddleName, 'Ms' AS HonorificPrefix, '' AS HonorificSuffix,
+named AS (SELECT *, md5(lower(coalesce(FirstName, 'Unknown')) || '_' || lower(coalesce(LastName, 'Unknown'))
+   || '_' || coalesce(DateOfBirth, '{fixed.NULL_TOKEN}')) AS passenger_hash FROM (
+ SELECT *, NULL::VARCHAR AS MiddleName, 'Ms' AS HonorificPrefix, '' AS HonorificSuffix,
   BookerEmailAddress AS EmailAddress, CASE WHEN TravelOrigin = 'O1' THEN 'F' ELSE 'M' END AS Gender,
   CASE WHEN LastName = 'A' THEN 'Unknown' ELSE TravelDate END AS DateOfBirth, GoID AS Zipcode,
   LastName AS Nationality, BookerCity AS City, 'S' AS State,
-  md5(concat_ws('|', FirstName, LastName)) AS passenger_hash,
   monthname(BookingDate) AS BookingMonth,
   cast(cast(Revenue AS DECIMAL(18,2)) * CASE BookingCurrency WHEN 'PHP' THEN 1.0 WHEN 'USD' THEN 0.5
-    WHEN 'JPY' THEN 2.0 END AS DECIMAL(18,3)) AS New_Revenue FROM profiles),
+    WHEN 'JPY' THEN 2.0 END AS DECIMAL(18,3)) AS New_Revenue FROM profiles)),
 served AS (SELECT * EXCLUDE (a), CASE WHEN DateOfBirth = 'Unknown' THEN 'Unknown' {_BANDS}
   ELSE 'Above100' END AS AgeRange FROM (SELECT *, year(DATE '{AS_OF}') -
    year(try_cast(DateOfBirth AS DATE)) AS a FROM named))"""
@@ -426,15 +436,38 @@ def revenue_breakdown(spark, sf):
     return out.withColumn("Revenue", F.col("Revenue").cast("double"))
 
 
-VOCAB = {"IsRegistered": ["No", "Yes"], "TravelSoloOrGroup": ["Group", "Solo"],
-         "AgeRange": ["1_to_10", "Above100", "Unknown"], "BookingCurrency": ["JPY", "PHP", "USD"],
-         "TravelMeals": ["Unknown", "fee small"]}
+# Every indicator column and its values in the test data, written out: the query reads them
+# from its rows.
+_PASSENGER_CELLS = {
+    "BookingMonth": ["January", "February", "March", "April", "May", "June", "July", "August",
+                     "September", "October", "November", "December"],
+    "TravelMeals": ["Unknown", "fee small"],
+    "BookingChannel": ["API", "Default", "Direct", "Unknown", "Web"],
+    "TravelBaggage": ["Unknown", "fee economy", "fee promo"],
+    "TravelInsurance": ["Unknown", "fee standard"],
+    "BookingCurrency": ["JPY", "PHP", "USD"],
+    "IsRegistered": ["No", "Yes"],
+    "TravelSoloOrGroup": ["Group", "Solo"],
+}
+_BOOKER_CELLS = _PASSENGER_CELLS | {
+    "IsEmployee": ["No", "Yes"],
+    "Gender": ["F", "M"],
+    "IsEmployeeDependent": ["No", "Yes"],
+    "AgeRange": ["1_to_10", "Above100", "Unknown"],
+}
+
+
+_PASSENGER_TEXT = ["FirstName", "MiddleName", "LastName", "HonorificPrefix", "HonorificSuffix", "EmailAddress",
+                   "Phone", "Gender", "ProvisionalPrimaryKey", "DateOfBirth", "Zipcode", "Nationality", "City",
+                   "State"]
+_BOOKER_TEXT = ["BookerFirstName", "BookerLastName", "BookerEmailAddress", "BookerMobile", "BookerType",
+                "BookerCity"]
 
 
-def _cells() -> str:
+def _cells(cells: dict) -> str:
     return ", ".join(
         f"count(*) FILTER (WHERE {c} = '{v}') AS {c}_separator_{v.replace(' ', '_space1_')}"
-        for c, values in VOCAB.items() for v in values)
+        for c, values in cells.items() for v in values)
 
 
 def _histogram(key: str, column: str, cap: int | None, unknown: bool) -> str:
@@ -464,11 +497,11 @@ def _timeline(key: str, revenue: str, currency: bool) -> str:
 
 
 def _per_key(key: str, texts, count: str, extra: str, cap: int | None, unknown: bool,
-             revenue: str, currency: bool) -> str:
+             revenue: str, currency: bool, cells: dict) -> str:
     return f"""WITH {SERVED},
 stats AS (SELECT {key}, {", ".join(f"max({c}) AS {c}" for c in texts)},
   cast(max(BookingDate) AS VARCHAR) AS LatestDate, cast(min(BookingDate) AS VARCHAR) AS FirstDate,
-  count(PassengerID) AS {count}, cast(sum(New_Revenue) AS DOUBLE) AS TotalRevenue, {_cells()}{extra}
+  count(PassengerID) AS {count}, cast(sum(New_Revenue) AS DOUBLE) AS TotalRevenue, {_cells(cells)}{extra}
   FROM served GROUP BY 1)
 SELECT s.*, coalesce(o.TravelOrigin, '{{}}') AS TravelOrigin,
  coalesce(d.TravelDestination, '{{}}') AS TravelDestination, coalesce(t.TravelSeat, '{{}}') AS TravelSeat,
@@ -484,14 +517,14 @@ def _plain_types(df):
                            "FirstDate": F.col("FirstDate").cast("string")})
 
 
-@query("passenger_details", _per_key("passenger_hash", serving.PASSENGER_TEXT, "TotalBookings", "", 50,
-                                     False, "cast(Revenue AS DECIMAL(18,2))", False))
+@query("passenger_details", _per_key("passenger_hash", _PASSENGER_TEXT, "TotalBookings", "", 50,
+                                     False, "cast(Revenue AS DECIMAL(18,2))", False, _PASSENGER_CELLS))
 def passenger_details(spark, sf):
-    return _plain_types(serving.passenger_details(serving_rows(spark, sf), VOCAB))
+    return _plain_types(serving.passenger_details(serving_rows(spark, sf)))
 
 
-@query("booker_details", _per_key("PersonID", serving.BOOKER_TEXT, "TotalPassengers",
+@query("booker_details", _per_key("PersonID", _BOOKER_TEXT, "TotalPassengers",
                                   ", count(DISTINCT passenger_hash) AS UniqueClients", None, True,
-                                  "New_Revenue", True))
+                                  "New_Revenue", True, _BOOKER_CELLS))
 def booker_details(spark, sf):
-    return _plain_types(serving.booker_details(serving_rows(spark, sf), VOCAB))
+    return _plain_types(serving.booker_details(serving_rows(spark, sf)))

@@ -59,6 +59,47 @@ def fold_entities(frames: Frames, folded: Mapping[str, tuple] = FOLDED,
     return out
 
 
+# Columns that the plan itself reads, whatever the attribute config maps: join keys, fold
+# codes, sequence columns, predicates, voucher rules.  Entities come without others.
+PLAN_COLUMNS = {
+    "all_booking": ["BookingID", "CreatedUserID", "Status", "BookingUTC", "RecordLocator"],
+    "all_agent": ["AgentID", "PersonID"],
+    "all_person": ["PersonID"],
+    "all_personname": ["PersonID", "NameType"],
+    "all_personemail": ["PersonID", "IsDefault"],
+    "all_personphone": ["PersonID", "IsDefault", "TypeCode"],
+    "all_personaddress": ["PersonID", "IsDefault"],
+    "all_traveldoc": ["PersonID", "DocTypeCode", "DocNumber", "IssuedByCode", "ExpirationDate"],
+    "all_bookingpassenger": ["BookingID", "PassengerID"],
+    "all_payment": ["BookingID", "PaymentMethodCode", "AuthorizationStatus", "AccountNumber"],
+    "all_bookingcontact": ["BookingID", "TypeCode"],
+    "all_passengeraddress": ["PassengerID"],
+    "all_passengertraveldoc": ["PassengerID", "DocTypeCode", "DocNumber", "IssuedByCode", "ExpirationDate"],
+    "all_passengerjourneysegment": ["PassengerID", "JourneyNumber", "SegmentNumber", "ArrivalStation"],
+    "all_passengerjourneyleg": ["PassengerID", "SegmentID", "LegNumber", "UnitDesignator"],
+    "all_passengerfee": ["PassengerID", "FeeCode"],
+    "all_fee": ["FeeCode", "Name"],
+    "all_voucher": ["VoucherReference", "RecordLocator", "Amount", "Available", "voucherbasiscode", "status"],
+}
+DERIVED_FROM = {
+    "GetTravelDestination_all_passengerjourneysegment": "all_passengerjourneysegment",
+    "GetPassportNumber_all_passengertraveldoc": "all_passengertraveldoc",
+    "GetPassportNumber_all_traveldoc": "all_traveldoc",
+    "GetTravelSoloOrGroup_all_bookingpassenger": "all_bookingpassenger",
+}
+MADE_HERE = {"all_fee": ["PassengerID"], "GetTravelSoloOrGroup_all_bookingpassenger": ["TravelSoloOrGroup"],
+             "all_booking": ["Source"]}
+
+
+def source_columns(config: Mapping) -> dict[str, list[str]]:
+    """Columns to read from each stored entity: what the config maps and the plan uses."""
+    out = {name: list(columns) for name, columns in PLAN_COLUMNS.items()}
+    for name, columns in shape.required_columns(config).items():
+        own = out.setdefault(DERIVED_FROM.get(name, name), [])
+        own += [c for c in columns if c not in own and c not in MADE_HERE.get(name, ())]
+    return out
+
+
 BOOKING = "all_booking_BookingID"
 PASSENGER = "all_bookingpassenger_PassengerID"
 PERSON = "all_person_PersonID"
@@ -87,13 +128,31 @@ STAR = [
 
 
 def join_entities(frames: Frames, star=STAR) -> DataFrame:
-    """Bookings full outer agents (an agent may have made a third of all
-    bookings, so that join is salted), then the left-join star."""
+    """Bookings full outer agents, then the left-join star.
+
+    An agent may have made a third of all bookings, and bookings without an agent share the
+    null key.  So the tables of a person are joined with each other first, likewise those of
+    a passenger, and the wide side looks each of the two up in one salted join.  The heavy
+    keys are counted in the booking table, not in the wide rows.
+    """
     wide = {name: shape.prefix_columns(df, name) for name, df in frames.items()}
-    base = joins.full_outer(wide["all_booking"], wide["all_agent"],
-                            "all_booking_CreatedUserID", "all_agent_AgentID")
-    return joins.star_join(base, [(wide[name], left, f"{name}_{right}")
-                                  for name, left, right in star])
+    bookings, agents = wide["all_booking"], wide["all_agent"]
+    user, agent = "all_booking_CreatedUserID", "all_agent_AgentID"
+    heavy = joins.heavy_keys(bookings, user, joins.SALTED_KEYS, joins.ROWS_PER_SALT)
+    base = joins.full_outer(bookings, agents, user, agent, heavy=heavy)
+
+    steps = [(wide[name], left, f"{name}_{right}") for name, left, right in star]
+    by_booking = [s for s in steps if s[1] == BOOKING]
+    base = joins.star_join(base, by_booking)
+    persons = heavy.join(agents, heavy[user] == agents[agent]).select("all_agent_PersonID", "n_rows")
+    for left_key in dict.fromkeys(s[1] for s in steps if s[1] != BOOKING):
+        dims = [(dim, right) for dim, left, right in steps if left == left_key]
+        keys = joins.null_key(dims[0][0], dims[0][1], left_key)
+        if left_key != PASSENGER:
+            keys = keys.unionByName(persons.withColumnRenamed("all_agent_PersonID", left_key))
+        base = joins.salted_join(base, joins.merge_dimensions(dims, "_looked_up"), left_key, "_looked_up",
+                                 "left", null_safe=True, heavy=keys).drop("_looked_up")
+    return base
 
 
 def collapse(mapped: DataFrame, config: Mapping, on_null_key: str = "merge") -> DataFrame:
@@ -135,7 +194,12 @@ def voucher_bookings(frames: Frames, as_of: Column | None = None) -> DataFrame:
 
 
 def flag_vouchers(profiles: DataFrame, frames: Frames, as_of: Column | None = None) -> DataFrame:
-    return joins.flag_by_key(profiles, voucher_bookings(frames, as_of), "BookingID", "IsCsp")
+    """The heavy bookings are counted in the passenger table: counting them in the
+    profiles would run the whole star a second time."""
+    heavy = joins.heavy_keys(frames["all_bookingpassenger"].select("BookingID"), "BookingID",
+                             joins.SALTED_KEYS, joins.ROWS_PER_SALT)
+    return joins.flag_by_key(profiles, voucher_bookings(frames, as_of), "BookingID", "IsCsp",
+                             heavy=heavy)
 
 
 def exclude_voucher_records(profiles: DataFrame, frames: Frames) -> DataFrame:
@@ -163,8 +227,13 @@ def revenue_in_home_currency(profiles: DataFrame, history: DataFrame,
 
 
 def build_profiles(frames: Frames, config: Mapping, registered: DataFrame | None = None, *,
-                   as_of: Column | None = None, on_null_key: str = "merge") -> DataFrame:
-    """The whole stage over already loaded entity tables."""
+                   as_of: Column | None = None, on_null_key: str = "merge",
+                   history: DataFrame | None = None, excluded_status: int | None = None) -> DataFrame:
+    """The whole stage over already loaded entity tables.
+
+    With a conversion `history` revenue is in the home currency; `excluded_status` drops
+    profiles of that booking status.
+    """
     raw = shape.apply_predicates(frames)
     tables = fold_entities(derive_tables(raw), needed=shape.required_columns(config))
     mapped = map_attributes(join_entities(tables), config["attributeMapping"],
@@ -174,7 +243,10 @@ def build_profiles(frames: Frames, config: Mapping, registered: DataFrame | None
         profiles = enrich_registered(profiles, registered)
     profiles = flag_vouchers(profiles, raw, as_of)
     profiles = exclude_voucher_records(profiles, raw)
-    return shape.dedup_by_key(profiles, "PassengerID", ["ProvisionalPrimaryKey"])
+    if excluded_status is not None:
+        profiles = exclude_status(profiles, excluded_status)
+    profiles = shape.dedup_by_key(profiles, "PassengerID", ["ProvisionalPrimaryKey"])
+    return profiles if history is None else revenue_in_home_currency(profiles, history)
 
 
 def merge_master(passengers: DataFrame, prior_profiles: DataFrame, persons: DataFrame,
