@@ -33,13 +33,16 @@ def normalise_currency(df: DataFrame, amount: str, currency: str, name: str,
 
 # --- indicator pivot ------------------------------------------------------------------
 
+PIVOT_VALUES = 1000     # output columns that one pivot column may become
+
+
 def safe_name(value: str) -> str:
     for char, word in fixed.PIVOT_CHAR_NAMES.items():
         value = value.replace(char, word)
     return value
 
 
-def vocabulary(df: DataFrame, columns: Sequence[str], limit: int = 1000) -> dict[str, list[str]]:
+def vocabulary(df: DataFrame, columns: Sequence[str], limit: int = PIVOT_VALUES) -> dict[str, list[str]]:
     """Distinct non-null values per categorical column, in one job.
 
     A pivot column becomes one output column per value, so more than `limit`
@@ -110,9 +113,9 @@ def distinct_counterparts(df: DataFrame, key: str, other: str, name: str) -> Dat
 
 # --- top n per key -----------------------------------------------------------------------
 
-def top_n_per_key(df: DataFrame, keys, order: Sequence[Column], n: int,
+def top_n_per_key(df: DataFrame, keys, order: Sequence[Column], n: int | None,
                   tie: Sequence[str], rank: str = "row_num", spread: int = 64) -> DataFrame:
-    """The first n rows per key, ranked.
+    """The first n rows per key, ranked (all of them with n None).
 
     Ranked twice: first within a share of the key, then among the at most
     spread * n survivors.  `tie` names columns that make the order total; their
@@ -123,6 +126,8 @@ def top_n_per_key(df: DataFrame, keys, order: Sequence[Column], n: int,
     share = F.pmod(F.xxhash64(*tie), F.lit(spread))
     local = Window.partitionBy(*keys, "_share").orderBy(*total)
     final = Window.partitionBy(*keys).orderBy(*total)
+    if n is None:
+        return df.withColumn(rank, F.row_number().over(final))
     near = (df.withColumn("_share", share)
               .withColumn("_local", F.row_number().over(local))
               .filter(F.col("_local") <= n).drop("_share", "_local"))
@@ -168,11 +173,12 @@ def histogram_json(df: DataFrame, key: str, columns: Sequence[str], cap: int | N
 # --- timelines ------------------------------------------------------------------------------------
 
 def timeline_json(df: DataFrame, key: str, fields: Mapping[str, Column], order: str,
-                  tie: Sequence[str], n: int = fixed.TIMELINE_ROWS,
+                  tie: Sequence[str], n: int | None = fixed.TIMELINE_ROWS,
                   name: str = "Details") -> DataFrame:
     """The newest n rows of a key as an indexed JSON object of text maps.
 
-    Null fields are left out, values are text; at most n rows meet in a key.
+    Null fields are left out, values are text; at most n rows meet in a key (all with
+    n None).
     """
     wanted = [F.col(key), F.col(order).alias("_order"),
               *[F.col(t).alias(f"_tie_{t}") for t in tie],

@@ -49,37 +49,57 @@ def _fields(revenue: str) -> dict[str, Column]:
     }
 
 
-def passenger_details(rows: DataFrame, vocab: dict | None = None) -> DataFrame:
-    vocab = vocab or serve.vocabulary(rows, fixed.PASSENGER_INDICATORS)
+def passenger_details(rows: DataFrame, vocab: dict | None = None, *, limit: int = serve.PIVOT_VALUES,
+                      values: int | None = fixed.HISTOGRAM_VALUES,
+                      newest: int | None = fixed.TIMELINE_ROWS) -> DataFrame:
+    """`vocab` gives the pivot's values ready; else they are read, at most `limit` a column.
+    `values` and `newest` are the lengths of histograms and timelines, None for all."""
+    vocab = vocab or serve.vocabulary(rows, fixed.PASSENGER_INDICATORS, limit)
     stats = serve.entity_summary(
         rows, "passenger_hash", largest=PASSENGER_TEXT, date="BookingDate",
         counted="PassengerID", amount="New_Revenue", count_name="TotalBookings",
         amount_name="TotalRevenue", vocab=vocab)
-    travelled = serve.histogram_json(rows, "passenger_hash", TRAVELLED, fixed.HISTOGRAM_VALUES)
+    travelled = serve.histogram_json(rows, "passenger_hash", TRAVELLED, values)
     timeline = serve.timeline_json(rows, "passenger_hash", _fields("Revenue"), "TravelDate",
-                                   ["PassengerID"])
+                                   ["PassengerID"], newest)
     out = serve.combine(stats, [(travelled, "left"), (timeline, "inner")], "passenger_hash")
     return out.fillna("{}", subset=TRAVELLED)
 
 
-def booker_details(rows: DataFrame, vocab: dict | None = None) -> DataFrame:
-    vocab = vocab or serve.vocabulary(rows, fixed.BOOKER_INDICATORS)
+def booker_details(rows: DataFrame, vocab: dict | None = None, *, limit: int = serve.PIVOT_VALUES,
+                   values: int | None = None, newest: int | None = fixed.TIMELINE_ROWS) -> DataFrame:
+    """Like `passenger_details`.  With `values` None a booker's whole histogram is one text;
+    `booker_values` gives it as rows, which no booker is too large for."""
+    vocab = vocab or serve.vocabulary(rows, fixed.BOOKER_INDICATORS, limit)
     stats = serve.entity_summary(
         rows, "PersonID", largest=BOOKER_TEXT, date="BookingDate", counted="PassengerID",
         amount="New_Revenue", count_name="TotalPassengers", amount_name="TotalRevenue",
         vocab=vocab)
     clients = serve.distinct_counterparts(rows, "PersonID", "passenger_hash", "UniqueClients")
-    travelled = serve.histogram_json(rows, "PersonID", TRAVELLED, None, fixed.UNKNOWN)
+    travelled = serve.histogram_json(rows, "PersonID", TRAVELLED, values, fixed.UNKNOWN)
     fields = _fields("New_Revenue") | {"currency": F.col("BookingCurrency")}
-    timeline = serve.timeline_json(rows, "PersonID", fields, "TravelDate", ["PassengerID"])
+    timeline = serve.timeline_json(rows, "PersonID", fields, "TravelDate", ["PassengerID"], newest)
     return serve.combine(stats, [(travelled, "left"), (clients, "left"), (timeline, "inner")],
                          "PersonID")
 
 
+def booker_values(rows: DataFrame) -> DataFrame:
+    """(PersonID, column, value, n): histograms and indicators as long rows."""
+    return serve.value_counts(rows, "PersonID", [*TRAVELLED, *fixed.BOOKER_INDICATORS], fixed.UNKNOWN)
+
+
 def serving_tables(profiles: DataFrame, as_of: Column | None = None,
-                   rates=fixed.CURRENCY_RATES) -> dict[str, DataFrame]:
-    rows = serving_rows(profiles, as_of, rates)
-    return {"index_milestone": index_milestone(rows),
-            "revenue_breakdown": revenue_breakdown(rows),
-            "passenger_details": passenger_details(rows),
-            "booker_details": booker_details(rows)}
+                   rates=fixed.CURRENCY_RATES, **options) -> dict[str, DataFrame]:
+    return tables_of(serving_rows(profiles, as_of, rates), **options)
+
+
+def tables_of(rows: DataFrame, *, limit: int = serve.PIVOT_VALUES, long_rows: bool = False,
+              passenger_values: int | None = fixed.HISTOGRAM_VALUES, booker_histogram: int | None = None,
+              newest: int | None = fixed.TIMELINE_ROWS) -> dict[str, DataFrame]:
+    out = {"index_milestone": index_milestone(rows),
+           "revenue_breakdown": revenue_breakdown(rows),
+           "passenger_details": passenger_details(rows, limit=limit, values=passenger_values, newest=newest),
+           "booker_details": booker_details(rows, limit=limit, values=booker_histogram, newest=newest)}
+    if long_rows:
+        out["booker_values"] = booker_values(rows)
+    return out

@@ -3,30 +3,54 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
-from ..operators.identity import identity_index
+from .. import fixed
+from ..operators.identity import ambiguous_people, identity_index, quality_metrics
 from ..operators.resolve import PersonSpec
 from ..session import tune
 from ..sources import partitions, sinks
 from .people import resolve_people, unify_profiles
-from .profile import build_profiles
-from .serving import (booker_details, index_milestone, passenger_details, revenue_breakdown,
-                      serving_rows)
+from .profile import build_profiles, source_columns
+from .serving import serving_rows, tables_of
 
 # Position of each output in the config's storageDetails.
 PROFILES, CLUSTERS, UNIFIED, SERVING, QUARANTINE, INDEX = range(6)
 
 
+@dataclass
+class Options:
+    """What a run may switch; the defaults are the original flow."""
+
+    current_only: bool = False          # of closed rows, the current versions only
+    on_null_key: str = "merge"          # see golden_record
+    excluded_status: int | None = None  # drop profiles of this booking status
+    history: DataFrame | None = None    # conversion rates: revenue in the home currency
+    impute_dob: bool = False
+    rates: Mapping[str, float] = field(default_factory=lambda: fixed.CURRENCY_RATES)
+    serving: Mapping[str, object] = field(default_factory=dict)   # keywords of serving.tables_of
+
+
 class Stages:
-    """compute_profile → compute_dedupe → compute_ucp → compute_ui over one config."""
+    """compute_profile → compute_dedupe → compute_ucp → compute_ui over one config.
 
-    def __init__(self, spark: SparkSession, config: Mapping, stored_fmt: str = "avro") -> None:
+    With a reportPath in the config, block sizes, quality metrics and the most ambiguous
+    people are stored there.
+    """
+
+    def __init__(self, spark: SparkSession, config: Mapping, stored_fmt: str = "avro",
+                 options: Options | None = None) -> None:
         self.spark = tune(spark)
         self.config = config
         self.stored_fmt = stored_fmt
+        self.options = options or Options()
+
+    def report(self, name: str, df: DataFrame) -> None:
+        if self.config.get("reportPath"):
+            sinks.write_table(df, f"{self.config['reportPath']}/{name}")
 
     def path(self, which: int) -> str:
         return self.config["storageDetails"][which]["pathUrl"]
@@ -40,21 +64,29 @@ class Stages:
     def compute_profile(self, start: str, end: str, incremental: bool = False,
                         as_of: Column | None = None) -> str:
         load = partitions.load_increments if incremental else partitions.load_full
-        frames = load(self.spark, self.config, start, end, stored_fmt=self.stored_fmt)
+        only = {} if incremental else {"current_only": self.options.current_only}
+        frames = load(self.spark, self.config, start, end, stored_fmt=self.stored_fmt,
+                      needed=source_columns(self.config), **only)
         registered = None
         if self.config.get("ciamPath"):
             registered = partitions.load_registered(
                 self.spark, self.config["ciamPath"], start, end, incremental,
-                stored_fmt=self.stored_fmt)
-        return sinks.write_stage(
-            build_profiles(frames, self.config, registered, as_of=as_of),
-            self.path(PROFILES), end)
+                stored_fmt=self.stored_fmt, closed_path=self.config.get("ciamClosedPath"),
+                stored_path=self.config.get("ciamStoredPath"))
+        built = build_profiles(frames, self.config, registered, as_of=as_of,
+                               on_null_key=self.options.on_null_key, history=self.options.history,
+                               excluded_status=self.options.excluded_status)
+        return sinks.write_stage(built, self.path(PROFILES), end)
 
     def compute_dedupe(self, end: str) -> str:
         profiles = partitions.read_stage(self.spark, self.path(PROFILES), end)
-        found = resolve_people(profiles, self.spec())
-        sinks.write_table(found.quarantined, self.path(QUARANTINE))
-        return sinks.write_stage(found.clusters, self.path(CLUSTERS), end)
+        found = resolve_people(profiles, self.spec(), impute_dob=self.options.impute_dob)
+        try:
+            sinks.write_table(found.quarantined, self.path(QUARANTINE))
+            self.report("block_sizes", found.blocks)
+            return sinks.write_stage(found.clusters, self.path(CLUSTERS), end)
+        finally:
+            found.release()
 
     def compute_ucp(self, day0: str, end: str, incremental: bool = False) -> str:
         profiles = partitions.read_stage(self.spark, self.path(PROFILES), end)
@@ -65,23 +97,22 @@ class Stages:
             old = partitions.read_stage(self.spark, self.path(INDEX), day0, end,
                                         include_hi=False)
         unified = unify_profiles(profiles, clusters, old, self.spec())
-        out = sinks.write_stage(unified.profiles, self.path(UNIFIED), end)
-        index = unified.index
-        if old is None:
-            # Build the index from what was just stored instead of once more.
+        try:
+            out = sinks.write_stage(unified.profiles, self.path(UNIFIED), end)
+            # Built from what was just stored instead of once more.
             stored = partitions.read_stage(self.spark, self.path(UNIFIED), end)
-            index = identity_index(stored, self.spec())
-        sinks.write_stage(index, self.path(INDEX), end)
-        return out
+            index = identity_index(stored, self.spec()) if old is None else unified.index
+            sinks.write_stage(index, self.path(INDEX), end)
+            self.report("quality_metrics", quality_metrics(stored, self.spec()))
+            self.report("ambiguous_people", ambiguous_people(stored, self.spec()))
+            return out
+        finally:
+            unified.release()
 
     def compute_ui(self, day0: str, end: str, as_of: Column | None = None) -> dict[str, str]:
         profiles = partitions.read_stage(self.spark, self.path(UNIFIED), day0, end)
-        rows = serving_rows(profiles, as_of).persist(StorageLevel.DISK_ONLY)
+        rows = serving_rows(profiles, as_of, self.options.rates).persist(StorageLevel.DISK_ONLY)
         try:
-            return sinks.write_serving({
-                "index_milestone": index_milestone(rows),
-                "revenue_breakdown": revenue_breakdown(rows),
-                "passenger_details": passenger_details(rows),
-                "booker_details": booker_details(rows)}, self.path(SERVING))
+            return sinks.write_serving(tables_of(rows, **self.options.serving), self.path(SERVING))
         finally:
             rows.unpersist()

@@ -33,18 +33,29 @@ class Entity:
 
     @classmethod
     def from_config(cls, entry: Mapping, columns: Sequence[str] = (),
-                    stored_from: str = "odstest_all_diffen_open",
-                    stored_to: str = "odstest_all_storage",
                     versioned=fixed.VERSIONED_ENTITIES, stored_fmt: str = "avro") -> Entity:
+        """Closed rows and increments lie where the entry says (closedPathUrl,
+        storedPathUrl); without an entry, beside the open ones (see `beside`)."""
         base = entry["pathUrl"]
-        closed = base + ("version" if entry["entityName"] in versioned else "")
-        return cls(entry["entityName"], base, closed.replace("open", "nonopen"),
-                   base.replace(stored_from, stored_to), entry["dataFormat"], stored_fmt,
+        closed = entry.get("closedPathUrl") or beside(base, "nonopen") + (
+            "version" if entry["entityName"] in versioned else "")
+        stored = entry.get("storedPathUrl") or beside(base, "storage")
+        return cls(entry["entityName"], base, closed, stored, entry["dataFormat"], stored_fmt,
                    tuple(columns))
 
 
-def entities(config: Mapping, **kw) -> list[Entity]:
-    need = required_columns(config)
+def beside(path: str, kind: str) -> str:
+    """.../<folder>open/<entity> → .../<folder><kind>/<entity>: the last part of the parent
+    folder's name changes, nothing else in the path."""
+    folder, _, name = path.rstrip("/").rpartition("/")
+    if not folder.endswith("open"):
+        raise ValueError(f"{path}: give closedPathUrl and storedPathUrl, its folder is not ...open")
+    return f"{folder.removesuffix('open')}{kind}/{name}"
+
+
+def entities(config: Mapping, needed: Mapping[str, Sequence[str]] | None = None, **kw) -> list[Entity]:
+    """Snapshot entities with the columns to read; without `needed`, what the config maps."""
+    need = required_columns(config) if needed is None else needed
     return [Entity.from_config(e, need.get(e["entityName"], ()), **kw)
             for e in config["entityDetails"] if e["entityType"] == "snapshot"]
 
@@ -159,13 +170,14 @@ def load_increments(spark: SparkSession, config: Mapping, start: str, end: str,
 
 
 def load_registered(spark: SparkSession, path: str, start: str, end: str, incremental: bool,
-                    fmt: str = "orc", stored_fmt: str = "avro") -> DataFrame:
+                    fmt: str = "orc", stored_fmt: str = "avro", closed_path: str | None = None,
+                    stored_path: str | None = None) -> DataFrame:
     """Registered customers without audit and partition columns."""
     if incremental:
-        stored = _read(spark, path.replace("all_diffen_open", "all_storage"), stored_fmt)
+        stored = _read(spark, stored_path or beside(path, "storage"), stored_fmt)
         return between_or_latest(stored, start, end, STORED).drop(*fixed.AUDIT_COLUMNS, STORED)
     opened = _read(spark, path, fmt).filter(_date(OPEN).isin(end, start))
-    closed = _read(spark, path.replace("all_diffen_open", "all_diffen_nonopen"), fmt)
+    closed = _read(spark, closed_path or beside(path, "nonopen"), fmt)
     closed = between_or_latest(closed, start, end, CLOSED)
     return (opened.drop(*fixed.AUDIT_COLUMNS, OPEN)
             .unionByName(closed.drop(*fixed.AUDIT_COLUMNS, CLOSED)))

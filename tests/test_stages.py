@@ -18,7 +18,7 @@ def write(df, base, column, date, fmt="parquet"):
 
 @pytest.fixture
 def entity(spark, tmp_path):
-    base = f"{tmp_path}/odstest_all_diffen_open/all_booking"
+    base = f"{tmp_path}/source_open/all_booking"
     e = partitions.Entity.from_config(
         {"entityName": "all_booking", "pathUrl": base, "dataFormat": "orc"},
         ["BookingID"], stored_fmt="orc")
@@ -44,8 +44,17 @@ def ids(df):
 
 
 def test_paths(entity):
-    assert entity.closed_path.endswith("odstest_all_diffen_nonopen/all_bookingversion")
-    assert entity.stored_path.endswith("odstest_all_storage/all_booking")
+    assert entity.closed_path.endswith("source_nonopen/all_bookingversion")
+    assert entity.stored_path.endswith("source_storage/all_booking")
+
+
+def test_paths_of_the_config_win():
+    e = partitions.Entity.from_config({"entityName": "a", "pathUrl": "s3://open/a", "dataFormat": "orc",
+                                       "closedPathUrl": "s3://c/a", "storedPathUrl": "s3://d/a"})
+    assert (e.open_path, e.closed_path, e.stored_path) == ("s3://open/a", "s3://c/a", "s3://d/a")
+    assert partitions.beside("/open/x_open/all_open", "nonopen") == "/open/x_nonopen/all_open"
+    with pytest.raises(ValueError):
+        partitions.beside("/data/all_booking", "storage")
 
 
 def test_snapshots_and_closed(spark, entity):
@@ -83,13 +92,13 @@ def test_write_stage_replaces_one_date(spark, tmp_path):
 
 
 def test_registered(spark, tmp_path):
-    base = f"{tmp_path}/all_diffen_open/all_edwcustomer"
+    base = f"{tmp_path}/open/registered_open/customer"
     def rows(email):
         return spark.createDataFrame([(email, "r", "A")], "email string, rowid string, c_operationtype string")
     write(rows("a"), base, "ods", "2023-07-31", "orc")
     write(rows("b"), base, "ods", "2021-01-01", "orc")
-    write(rows("c"), base.replace("open", "nonopen"), "nds", "2020-01-01", "orc")
-    write(rows("d"), base.replace("all_diffen_open", "all_storage"), "vds", "2023-07-01", "orc")
+    write(rows("c"), base.replace("registered_open", "registered_nonopen"), "nds", "2020-01-01", "orc")
+    write(rows("d"), base.replace("registered_open", "registered_storage"), "vds", "2023-07-01", "orc")
     df = partitions.load_registered(spark, base, "2021-01-01", "2023-07-31", False)
     assert df.columns == ["email"] and sorted(r[0] for r in df.collect()) == ["a", "b", "c"]
     df = partitions.load_registered(spark, base, "2023-07-01", "2023-07-31", True, stored_fmt="orc")
@@ -99,7 +108,7 @@ def test_registered(spark, tmp_path):
 def stage_config(tmp_path):
     """The travel config plus the columns only the serving stage reads."""
     config = copy.deepcopy(travel.CONFIG)
-    base = f"{tmp_path}/odstest_all_diffen_open"
+    base = f"{tmp_path}/source_open"
     config["entityDetails"] = [
         {"entityName": n, "entityType": "snapshot", "pathUrl": f"{base}/{n}", "dataFormat": "parquet"}
         for n in travel.ENTITY_SQL]
@@ -114,14 +123,12 @@ def stage_config(tmp_path):
     return config
 
 
-def test_four_stages(spark, tmp_path, monkeypatch):
+def test_four_stages(spark, tmp_path):
     config = stage_config(tmp_path)
-    # The config lists only mapped columns; keys the joins need come along here.
-    monkeypatch.setattr(partitions, "required_columns", lambda c: {})
     for e in config["entityDetails"]:
         df = travel.derive_all(spark, SF, {"e": travel.ENTITY_SQL[e["entityName"]]})["e"]
         write(df, e["pathUrl"], "ods", "2024-01-31")
-        stored = e["pathUrl"].replace("odstest_all_diffen_open", "odstest_all_storage")
+        stored = e["pathUrl"].replace("source_open", "source_storage")
         write(df.withColumn("c_operationtype", F.lit("D")), stored, "vds", "2024-02-01")
     stages = Stages(spark, config, stored_fmt="parquet")
     as_of = F.lit("2001-01-01").cast("date")
@@ -152,3 +159,29 @@ def test_four_stages(spark, tmp_path, monkeypatch):
     assert spark.read.parquet(written["index_milestone"]).first()["journeys"] == first.count()
     assert spark.read.parquet(written["booker_details"]).count() > 0
     assert spark.read.parquet(written["revenue_breakdown"]).count() == 3
+
+
+def test_the_star_runs_once(spark):
+    """No entity is scanned for heavy keys of the wide rows: the plan reads the big tables
+    no more often than the entities derived from them need."""
+    frames = travel.entities(spark, SF)
+    tables = travel.profile.fold_entities(travel.profile.derive_tables(travel.apply_predicates(frames)),
+                                          needed=travel.required_columns(travel.CONFIG))
+    scans = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("parquet")
+    star = scans(travel.profile.join_entities(tables))
+    built = travel.profile.build_profiles(frames, travel.CONFIG, as_of=F.lit("2001-01-01").cast("date"))
+    assert scans(built) <= star + 8      # vouchers, exclusion and heavy bookings read base tables
+
+
+def test_merged_dimensions_equal_a_star(spark):
+    from kinfold.operators import joins
+    base = spark.createDataFrame([(i, k) for i, k in enumerate([1, 1, 2, 3, None, None, 9])], "i int, k int")
+    a = spark.createDataFrame([(1, "a1"), (1, "a1b"), (2, "a2"), (None, "an")], "ka int, a string")
+    b = spark.createDataFrame([(2, "b2"), (3, "b3"), (7, "b7")], "kb int, b string")
+    c = spark.createDataFrame([(None, "cn"), (1, "c1")], "kc int, c string")
+    star = joins.star_join(base, [(a, "k", "ka"), (b, "k", "kb"), (c, "k", "kc")])
+    heavy = joins.null_key(a, "ka", "k").unionByName(
+        spark.createDataFrame([(1, 250_000), (1, 5)], "k int, n_rows long"))
+    looked = joins.salted_join(base, joins.merge_dimensions([(a, "ka"), (b, "kb"), (c, "kc")], "key"), "k", "key",
+                               "left", null_safe=True, heavy=heavy).drop("key")
+    assert sorted(map(str, looked.collect())) == sorted(map(str, star.collect()))
