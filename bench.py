@@ -26,7 +26,7 @@ HEADLINE = [
     "salted_join", "salted_full_join", "impute_by_group", "top_n_timeline", "timeline_json",
     "histogram_json", "name_normalise", "phonetic_block", "similar_spellings", "components",
     "resolve_people", "assign_identity", "carry_over", "profile_build", "passenger_details",
-    "booker_details",
+    "booker_details", "score_pairs", "unify_people", "new_identities", "revenue_breakdown",
 ]
 
 

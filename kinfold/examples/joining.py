@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import joins
-from ..plans.profile import merge_master
+from ..plans.profile import merge_master, revenue_in_home_currency
 from .tables import table
 
 QUERIES: dict = {}
@@ -120,6 +120,31 @@ def convert_revenue(spark, sf):
                       F.col("Revenue").cast("double").alias("revenue"))
 
 
+@query("revenue_home", """
+WITH v AS (SELECT CASE user_id % 2 WHEN 0 THEN 'USD' ELSE 'JPY' END AS c, ts, cast(value AS DECIMAL(9,2)) AS rate,
+             lead(ts) OVER (PARTITION BY user_id % 2 ORDER BY ts, value) AS nxt
+           FROM events WHERE event_type = 'purchase'),
+     f AS (SELECT event_id, cast(value AS DECIMAL(9,2)) AS amount, cast(ts + INTERVAL 8 HOUR AS DATE) AS d,
+             CASE WHEN event_type = 'click' THEN 'PHP' WHEN user_id % 3 = 0 THEN 'USD' ELSE 'JPY' END AS currency
+           FROM events)
+SELECT event_id, currency, cast(CASE WHEN currency <> 'PHP' THEN round(amount * rate, 2)
+   ELSE amount END AS DOUBLE) AS revenue
+FROM f LEFT JOIN v ON f.currency = v.c AND f.d >= cast(v.ts AS DATE)
+ AND f.d < cast(coalesce(v.nxt, TIMESTAMP '9999-12-31 00:00:00') AS DATE)""")
+def revenue_home(spark, sf):
+    events = table(spark, sf, "events")
+    history = events.filter("event_type = 'purchase'").select(
+        F.when(F.col("user_id") % 2 == 0, "USD").otherwise("JPY").alias("FromCurrencyCode"),
+        F.col("ts").alias("VersionStartUTC"), _money("value").alias("ConversionRate"))
+    profiles = events.select(
+        "event_id", _money("value").alias("Revenue"), F.col("ts").alias("BookingDate"),
+        F.when(F.col("event_type") == "click", "PHP").when(F.col("user_id") % 3 == 0, "USD")
+        .otherwise("JPY").alias("BookingCurrency"))
+    out = revenue_in_home_currency(profiles, history, "PHP")
+    return out.select("event_id", F.col("BookingCurrency").alias("currency"),
+                      F.col("Revenue").cast("double").alias("revenue"))
+
+
 # '5-LOW' and '3-MEDIUM' exist on the left only, 'none' on the right only.
 STATUS = """(SELECT CASE o_orderpriority WHEN '3-MEDIUM' THEN 'none' ELSE o_orderpriority END
              AS status_key, min(o_custkey) AS first_cust

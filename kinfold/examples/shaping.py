@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from .. import fixed
+from ..functions import text
+from ..functions.dates import date_part, local_date
 from ..operators import joins, shape
 from ..operators.resolve import block_sizes
 from ..sources import partitions
-from ..functions import text
-from ..functions.dates import date_part, local_date
 from .tables import table
 
 QUERIES: dict = {}
@@ -96,9 +97,9 @@ def distinct_rows(spark, sf):
     return shape.dedup_by_key(rows, rows.columns)
 
 
-@query("defaults_round_trip", """
+@query("defaults_round_trip", f"""
 SELECT event_id, coalesce(nullif(event_type, 'error'), 'Unknown') AS filled,
-       CASE WHEN coalesce(nullif(event_type, 'error'), 'Unknown') = 'Unknown' THEN 'CCAI_NULL'
+       CASE WHEN coalesce(nullif(event_type, 'error'), 'Unknown') = 'Unknown' THEN '{fixed.NULL_TOKEN}'
             ELSE event_type END AS restored FROM events""")
 def defaults_round_trip(spark, sf):
     rows = table(spark, sf, "events").select(
@@ -221,13 +222,20 @@ def phone_email_clean(spark, sf):
         text.email_key(F.col("c_mktsegment")).alias("email"))
 
 
+# Addresses that pass (every fourth) and that fail: no "@", a label with a leading hyphen, two dots.
 @query("email_shape", """
-SELECT page_id, regexp_matches(lower(replace(url, '://', '@')),
+SELECT c_custkey, regexp_matches(lower(CASE c_custkey % 4
+   WHEN 0 THEN replace(c_name, '#', '.') || '@shop-' || c_nationkey || '.example.com'
+   WHEN 1 THEN c_name WHEN 2 THEN c_name || '@-bad.example.com' ELSE c_name || '..x@example.com' END),
  '^[a-z0-9!#$%&''*+/=?^_`{|}~-]+(\\.[a-z0-9!#$%&''*+/=?^_`{|}~-]+)*@([a-z0-9]([a-z0-9-]*[a-z0-9])?\\.)+[a-z]{2,}$')
- AS ok FROM pages""")
+ AS ok FROM customer""")
 def email_shape(spark, sf):
-    address = F.replace("url", F.lit("://"), F.lit("@"))
-    return table(spark, sf, "pages").select("page_id", text.is_email(address).alias("ok"))
+    name, kind = F.col("c_name"), F.col("c_custkey") % 4
+    address = (F.when(kind == 0, F.concat(F.replace(name, F.lit("#"), F.lit(".")), F.lit("@shop-"),
+                                          F.col("c_nationkey").cast("string"), F.lit(".example.com")))
+               .when(kind == 1, name).when(kind == 2, F.concat(name, F.lit("@-bad.example.com")))
+               .otherwise(F.concat(name, F.lit("..x@example.com"))))
+    return table(spark, sf, "customer").select("c_custkey", text.is_email(address).alias("ok"))
 
 
 @query("local_date_shift", """

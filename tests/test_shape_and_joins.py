@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from kinfold import fixed
 from kinfold.functions.attributes import is_registered, map_attributes
 from kinfold.operators import joins, serve, shape
 
@@ -58,7 +59,7 @@ def test_defaults(spark):
     filled = shape.fill_defaults(df, {"s": "Unknown", "i": 0, "d": "text", "absent": 1})
     assert rows(filled) == [("Unknown", 0, None), ("x", 0, 1.5)]
     back = shape.restore_defaults(filled, {"s": "Unknown", "i": 0})
-    assert rows(back) == [("CCAI_NULL", "CCAI_NULL", None), ("x", "CCAI_NULL", 1.5)]
+    assert rows(back) == [(fixed.NULL_TOKEN, fixed.NULL_TOKEN, None), ("x", fixed.NULL_TOKEN, 1.5)]
 
 
 def skewed(spark, seed=3):
