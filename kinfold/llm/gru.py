@@ -7,7 +7,7 @@ import numpy as np
 
 EMBED, HIDDEN = 16, 16
 CLASSES, MEMBERS = 24, 24          # words of the model: CLASSES * MEMBERS
-STREAMS, WINDOW = 384, 16          # of training: parallel rows and steps of one update
+STREAMS, WINDOW = 768, 16          # of training: parallel rows and steps of one update
 SCORE_ROWS, SCORE_WINDOW = 512, 48
 LARGEST = 4.0                      # of a weight
 END, UNK = 0, 1                    # model words that always exist

@@ -13,6 +13,7 @@
 
 from __future__ import annotations
 
+import itertools
 from collections import Counter
 from collections.abc import Iterator
 
@@ -100,13 +101,10 @@ class Lexicon:
         return Head((w, i) for i, w in enumerate(self.words))
 
 
-def _sequences(batch: pa.RecordBatch, place: Head, model: np.ndarray) -> list[np.ndarray]:
-    out = []
-    for text in batch.column(1).to_pylist():
-        parts = words(text)
-        at = np.fromiter(map(place.__getitem__, parts), np.int64, len(parts))
-        out.append(np.append(model[at], gru.END))
-    return out
+def _tokens(texts: list[str]) -> tuple[list[bytes], np.ndarray]:
+    """All tokens of some texts in a row, each text's END included, and tokens per text."""
+    rows = [[*words(t), END] for t in texts]
+    return list(itertools.chain.from_iterable(rows)), np.fromiter(map(len, rows), np.int64, len(rows))
 
 
 def train(docs: DataFrame, lexicon, flat: np.ndarray, rate: float, passes: int) -> np.ndarray:
@@ -119,10 +117,11 @@ def train(docs: DataFrame, lexicon, flat: np.ndarray, rate: float, passes: int)
         place = lex.places()
         trainer = gru.Trainer(gru.Model(start), rate)
         for batch in batches:
-            sequences = _sequences(batch, place, lex.model)
-            for at in range(0, len(sequences), 2000):
+            for first in range(0, batch.num_rows, 4000):
+                tokens, _ = _tokens(batch.column(1).slice(first, 4000).to_pylist())
+                sequence = lex.model[np.fromiter(map(place.__getitem__, tokens), np.int64, len(tokens))]
                 for _ in range(passes):
-                    trainer.feed(np.concatenate(sequences[at:at + 2000]))
+                    trainer.feed(sequence)
         if trainer.tokens:
             value = trainer.model.flat.astype(np.float64) * trainer.tokens
             yield pa.RecordBatch.from_arrays([pa.array([float(trainer.tokens)]), pa.array([value.tobytes()], pa.binary())],
@@ -142,8 +141,8 @@ def train(docs: DataFrame, lexicon, flat: np.ndarray, rate: float, passes: int)
     return (sum(np.frombuffer(r["value"], np.float64) for r in groups) / total).astype(np.float32)
 
 
-SCORED = ("doc_id long, n_tokens long, n_head long, log_counts double, model double, n_rest long, "
-          "rest array<struct<word:binary,n:long>>")
+SCORED = ("doc_id long, n_tokens long, n_head long, log_counts double, model double, "
+          "rest array<binary>")
 
 
 def score_documents(docs: DataFrame, lexicon, flat: np.ndarray) -> DataFrame:
@@ -154,31 +153,30 @@ def score_documents(docs: DataFrame, lexicon, flat: np.ndarray) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lex, params = given.value
         place, model = lex.places(), gru.Model(params)
-        logs = np.append(np.log10(lex.counts + SMOOTH), 0.0)
-        end = place[END]
-        kind = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())]))
+        logs = np.append(np.log10(lex.counts + SMOOTH), 0.0)      # the last entry serves place -1
         for whole in batches:
             for first in range(0, whole.num_rows, 10_000):
                 batch = whole.slice(first, 10_000)
-                tokens, n_head, log_counts, log_other, n_rest, rest, sequences = [], [], [], [], [], [], []
-                for text in batch.column(1).to_pylist():
-                    parts = words(text)
-                    at = np.fromiter(map(place.__getitem__, parts), np.int64, len(parts))
-                    out = np.flatnonzero(at < 0)
-                    ids = lex.model[at]
-                    sequences.append(np.append(ids, gru.END))
-                    tokens.append(len(parts) + 1)
-                    n_head.append(len(parts) + (end >= 0) - len(out))
-                    log_counts.append(float(logs[at].sum() + logs[end]))
-                    log_other.append((int((ids == gru.UNK).sum()), float(logs[at[ids == gru.UNK]].sum())))
-                    n_rest.append(len(out))
-                    rest.append([{"word": w, "n": n} for w, n in Counter([parts[i] for i in out.tolist()]).items()])
-                value = gru.score(model, sequences) / np.log(10)
-                value += np.array([x for _, x in log_other]) - np.array([n for n, _ in log_other]) * lex.log_unknown
+                tokens, size = _tokens(batch.column(1).to_pylist())
+                ends = np.cumsum(size)
+                begins = ends - size
+                at = np.fromiter(map(place.__getitem__, tokens), np.int64, len(tokens))
+                ids, own = lex.model[at], logs[at]
+                # the end is its own model word even where no training row has one
+                ids[ends - 1] = gru.END
+                other = ids == gru.UNK
+                out = np.flatnonzero(at < 0)
+                out = out[~np.isin(out, ends - 1)] if place[END] < 0 else out
+                per_doc = lambda x: np.add.reduceat(x, begins)    # noqa: E731  no text is without its end
+                value = gru.score(model, np.split(ids, ends[:-1])) / np.log(10)
+                value += per_doc(np.where(other, own, 0.0)) - per_doc(other.astype(np.int64)) * lex.log_unknown
+                cuts = np.searchsorted(out, np.append(begins, ends[-1]))
+                rest = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()),
+                                                pa.array([tokens[i] for i in out.tolist()], pa.binary()))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array(tokens, pa.int64()), pa.array(n_head, pa.int64()), pa.array(log_counts),
-                     pa.array(value), pa.array(n_rest, pa.int64()), pa.array(rest, kind)],
-                    ["doc_id", "n_tokens", "n_head", "log_counts", "model", "n_rest", "rest"])
+                    [batch.column(0), pa.array(size), pa.array(per_doc((at >= 0).astype(np.int64))),
+                     pa.array(per_doc(own)), pa.array(value), rest],
+                    ["doc_id", "n_tokens", "n_head", "log_counts", "model", "rest"])
     return docs.mapInArrow(run, SCORED)
 
 
@@ -209,12 +207,12 @@ def log_likelihood(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         flat = train(learnt, lexicon, flat, RATE, 1)
 
     scored = stored(score_documents(texts, lexicon, flat))
-    rest = scored.select("doc_id", F.explode("rest").alias("r")).select("doc_id", "r.word", "r.n")
+    rest = scored.select("doc_id", F.explode("rest").alias("word"))
     tail = counts.filter(F.col("n") < least).select(F.col("word").alias("_word"), F.col("n").alias("c"))
     looked = (rest.join(tail, F.col("word") == F.col("_word"), "left").withColumn("c", F.coalesce("c", F.lit(0)))
               .groupBy(F.col("doc_id").alias("_id"))
-              .agg(F.sum(F.col("n") * F.log10(F.col("c") + SMOOTH)).alias("rest_logs"),
-                   F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("rest_known")))
+              .agg(F.sum(F.log10(F.col("c") + SMOOTH)).alias("rest_logs"),
+                   F.sum((F.col("c") > 0).cast("long")).alias("rest_known")))
     whole = scored.groupBy("doc_id").agg(*[F.sum(c).alias(c) for c in ("n_tokens", "n_head", "log_counts", "model")])
     logs = F.coalesce("rest_logs", F.lit(0.0))
     held = F.coalesce(split_group(F.col("doc_id"), FOLDS) == HELD_OUT, F.lit(False))
