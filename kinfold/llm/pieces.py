@@ -11,8 +11,9 @@ walk's.  The search always opens the best branch of all, so segmentations come i
 order of their perturbed values, none twice.  With the value after the k-th as threshold t,
 a segmentation of probability p is included with probability 1 - exp(-p / exp(t)).
 
-No piece crosses from a character to a following space, so states are shared between all
-places with the same rest of a word; they are kept in a bounded table per worker.  Random
+No piece crosses from a character to a following space, so texts are cut into words there;
+words share states with all others of their slice that end alike, and known words are kept,
+up to a bound, for the rest of the task.  Random
 numbers are hashes of (seed, row key, place), so every rerun gives the same samples.
 """
 
@@ -20,6 +21,7 @@ from __future__ import annotations
 
 import heapq
 import importlib
+import itertools
 import math
 import re
 from collections.abc import Iterator
@@ -36,10 +38,10 @@ from .shingles import mix
 
 SAMPLES = 2
 ALPHA = 0.5                 # inverse temperature of the edge weights
-STATES = 3_000_000          # states that a worker keeps
-SLICE_BYTES = 1 << 19       # of text sampled at once
+STATES = 1_000_000          # states that a worker keeps
+SLICE_BYTES = 1 << 20       # of text sampled at once
 MARK = "▁"             # fixed value: the model's sign for a space
-UNIT = re.compile(rb" *[^ \n]+| +|\n")
+STOPS = b",.;:!?|-"           # before which a word may be cut
 
 ENCODED = ("doc_id long, rank int, n_pieces long, log_prob double, perturbed double, log_inclusion double, "
            "ids binary, exact boolean")
@@ -51,7 +53,10 @@ def public_model(name: str = "piece_bpe_32k.model") -> str:
 
 
 class Vocabulary:
-    """Pieces as bytes with spaces for marks; weights by rank (Zipf's law), bytes last."""
+    """Pieces as bytes with spaces for marks; weights by rank (Zipf's law), bytes last.
+
+    The pieces also lie in a trie, for walks along many words at once.
+    """
 
     def __init__(self, path: str, alpha: float = ALPHA):
         model = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -70,97 +75,204 @@ class Vocabulary:
                 self.bytes_of[i] = raw
         self.byte_weight = weight(n)
         self.longest = max(map(len, self.pieces))
-        self.prefixes = {p[:k] for p in self.pieces for k in range(1, len(p) + 1)}
+        # the trie of the pieces as sorted keys node * 256 + byte -> node; root is 0
+        nodes, keys = {b"": 0}, []
+        for raw in self.pieces:
+            for k in range(1, len(raw) + 1):
+                if raw[:k] not in nodes:
+                    keys.append((nodes[raw[:k - 1]] * 256 + raw[k - 1], len(nodes)))
+                    nodes[raw[:k]] = len(nodes)
+        self.keys, self.nodes = np.array(sorted(keys), np.int64).T.copy()
+        self.ends = np.full(len(nodes), -1, np.int32)             # piece that ends in a node
+        self.weight = np.zeros(len(nodes))
+        for raw, (i, w) in self.pieces.items():
+            self.ends[nodes[raw]], self.weight[nodes[raw]] = i, w
+        self.byte_piece = np.array([self.byte_ids[x] for x in range(256)], np.int32)
+        sizes = np.array([len(x) for x in self.bytes_of])
+        self.size, self.start = sizes, np.cumsum(sizes) - sizes
+        self.flat = np.frombuffer(b"".join(self.bytes_of), np.uint8)
+
+        self.unit = re.compile(self.pattern())
+
+    def pattern(self) -> bytes:
+        """Words: spaces and what follows them, a new line, or a stop and what follows it.
+
+        A cut before a stop is taken only after bytes that no piece joins with that stop, so
+        it loses no segmentation.  Words beyond the stated lengths are cut as well.
+        """
+        joined = {c: {p[i - 1] for p in self.pieces for i in range(1, len(p)) if p[i] == c} for c in STOPS}
+        stops = b"".join(b"\\x%02x" % c for c in STOPS)
+        plain = b"[^ \\n" + stops + b"]"
+        stop = b"|".join(b"(?<=[" + b"".join(b"\\x%02x" % x for x in sorted(before)) + b"])\\x%02x" % c
+                         for c, before in joined.items() if before)
+        return (b" {0,16}" + plain + b"{1,64}(?:(?:" + stop + b")" + plain + b"{0,16}){0,4}"
+                + b"| {0,16}[" + stops + b"](?:" + plain + b"{1,16}|" + stop + b"){0,16}| {1,16}|\\n")
+
+    def step(self, node: np.ndarray, byte: np.ndarray) -> np.ndarray:
+        """The trie node after `byte`, -1 where no piece goes on."""
+        key = node * 256 + byte
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[at] == key, self.nodes[at], -1)
 
     def decode(self, ids: np.ndarray) -> bytes:
-        return b"".join(map(self.bytes_of.__getitem__, ids.tolist()))[1:]
+        """The text: all pieces' bytes in a row, without the space put before the first."""
+        size = self.size[ids]
+        if not len(size):
+            return b""
+        shift = np.repeat(self.start[ids] - (np.cumsum(size) - size), size)
+        return self.flat[shift + np.arange(len(shift))].tobytes()[1:]
+
+
+class Words(dict):
+    """word -> its state; words not known yet get -1, -2, ... and wait in `new`."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> int:
+        self.new.append(word)
+        value = self[word] = -len(self.new)
+        return value
 
 
 class Lattice:
-    """States and edges in growing arrays.  State 0 is the end of a word."""
+    """States and edges in growing arrays.  State 0 is the end of a word; the edges of state
+    s are first[s-1]..first[s], the likeliest first."""
+
+    EDGES = {"upto": np.float64, "piece": np.uint16, "next": np.int32, "log_q": np.float64, "log_rest": np.float64}
 
     def __init__(self, vocabulary: Vocabulary):
         self.v = vocabulary
         self.clear()
 
     def clear(self) -> None:
-        self.state = {b"": 0}
-        self.log_z = [0.0]
-        self.n_edges = 0
-        self.first = [0, 0]           # edges of state s: first[s]..first[s + 1]
-        self.upto = np.empty(1 << 16)             # state + cumulative chance
-        self.piece = np.empty(1 << 16, np.uint16)
-        self.next = np.empty(1 << 16, np.int32)
-        self.log_q = np.empty(1 << 16, np.float64)
-        self.log_rest = np.empty(1 << 16, np.float64)
-
-    def _grow(self, need: int) -> None:
-        if need > len(self.upto):
-            for name in ("upto", "piece", "next", "log_q", "log_rest"):
-                old = getattr(self, name)
-                setattr(self, name, np.concatenate([old, np.empty(max(need, len(old)), old.dtype)]))
-
-    def start_of(self, word: bytes) -> int:
-        """The state of a whole word; adds the missing states of its ends, shortest first."""
-        known = self.state.get(word)
-        if known is not None:
-            return known
-        v, state, log_z = self.v, self.state, self.log_z
-        lo, n = 1, len(word)
-        while lo < n and word[lo:] not in state:
-            lo += 1
-        for i in range(lo - 1, -1, -1):
-            rest = word[i:] if i else word
-            edges, byte = [], word[i]
-            if byte & 0xC0 != 0x80:                       # a character begins here
-                width = 1 if byte < 0x80 else 2 if byte < 0xE0 else 3 if byte < 0xF0 else 4
-                for k in range(1, min(v.longest, n - i) + 1):
-                    part = word[i:i + k]
-                    if part not in v.prefixes:
-                        break
-                    found = v.pieces.get(part)
-                    if found:
-                        to = state[word[i + k:]]
-                        edges.append((found[0], to, found[1] + log_z[to]))
-                if word[i:i + width] not in v.pieces:
-                    edges.append((v.byte_ids[byte], state[word[i + 1:]], v.byte_weight + log_z[state[word[i + 1:]]]))
-            else:
-                to = state[word[i + 1:]]
-                edges.append((v.byte_ids[byte], to, v.byte_weight + log_z[to]))
-            top = max(e[2] for e in edges)
-            z = top + math.log(sum(math.exp(e[2] - top) for e in edges))
-            s, at, total = len(log_z), self.n_edges, 0.0
-            self._grow(at + len(edges))
-            for k, (piece, to, weight) in enumerate(edges):
-                q = math.exp(weight - z)
-                total += q
-                last = k == len(edges) - 1
-                self.upto[at + k] = s + (1.0 if last else min(total, 1.0))
-                self.piece[at + k], self.next[at + k], self.log_q[at + k] = piece, to, weight - z
-                self.log_rest[at + k] = math.log1p(-q) if len(edges) > 1 and q < 1 else -math.inf
-            self.n_edges += len(edges)
-            self.first.append(self.n_edges)
-            log_z.append(z)
-            state[rest] = s
-        return state[word]
+        self.words = Words()
+        self.n_edges, self.n_states = 0, 1
+        self.first, self.log_z = np.zeros(1 << 14, np.int32), np.zeros(1 << 14)
+        for name, kind in self.EDGES.items():
+            setattr(self, name, np.empty(1 << 15, kind))
+
+    def _put(self, name: str, at: int, values: np.ndarray) -> None:
+        old, end = getattr(self, name), at + len(values)
+        if end > len(old):
+            grown = np.empty(max(end, len(old) * 3 // 2), old.dtype)
+            grown[:at] = old[:at]
+            setattr(self, name, grown)
+        getattr(self, name)[at:end] = values
+
+    def states_of(self, rows: list[list[bytes]], n: int) -> np.ndarray:
+        """The state of every word of the rows, new words added first."""
+        places = np.fromiter(map(self.words.__getitem__, itertools.chain.from_iterable(rows)), np.int32, n)
+        if self.words.new:
+            added = self.add(self.words.new)
+            self.words.update(zip(self.words.new, added.tolist()))
+            self.words.new = []
+            late = places < 0
+            places[late] = added[-1 - places[late]]
+        return places
+
+    def add(self, words: list[bytes]) -> np.ndarray:
+        """States of new words, for all of them at once from their ends to their beginnings.
+        Words with one rest share its states."""
+        data = np.frombuffer(b"\0".join(words) + b"\0", np.uint8)
+        size = np.array([len(w) for w in words])
+        end = np.cumsum(size + 1) - 1
+        state = np.zeros(len(data), np.int32)                 # of the rest that begins there
+        order = np.argsort(-size, kind="stable")
+        longer = len(words)
+        for r in range(1, int(size.max()) + 1):
+            longer = int(np.searchsorted(-size[order], -r, side="right"))
+            at = end[order[:longer]] - r
+            key = state[at + 1].astype(np.int64) * 256 + data[at]
+            _, lead, back = np.unique(key, return_index=True, return_inverse=True)
+            state[at] = (self.n_states + back).astype(np.int32)
+            self._level(data, state, at[lead], end[order[lead]])
+        return state[end - size]
+
+    def _level(self, data: np.ndarray, state: np.ndarray, at: np.ndarray, end: np.ndarray) -> None:
+        """Edges of the new states whose rests begin at `at`."""
+        v, n = self.v, len(at)
+        lead = data[at]
+        begins = (lead & 0xC0) != 0x80
+        width = np.where(lead < 0x80, 1, np.where(lead < 0xE0, 2, np.where(lead < 0xF0, 3, 4)))
+        spelt = np.ones(n, bool)                               # no piece is this character
+        own, piece, to, weight = [], [], [], []
+        live, k = np.flatnonzero(begins), 0
+        node = np.zeros(len(live), np.int64)
+        while len(live):
+            node = v.step(node, data[at[live] + k])
+            on = node >= 0
+            live, node, k = live[on], node[on], k + 1
+            hit = v.ends[node] >= 0
+            rows = live[hit]
+            own.append(rows)
+            piece.append(v.ends[node[hit]])
+            to.append(state[at[rows] + k])
+            weight.append(v.weight[node[hit]])
+            spelt[rows[width[rows] == k]] = False
+            more = at[live] + k < end[live]
+            live, node = live[more], node[more]
+        rows = np.flatnonzero(spelt)
+        own.append(rows)
+        piece.append(v.byte_piece[lead[rows]])
+        to.append(state[at[rows] + 1])
+        weight.append(np.full(len(rows), v.byte_weight))
+        own, piece, to = np.concatenate(own), np.concatenate(piece), np.concatenate(to)
+        weight = np.concatenate(weight) + self.log_z[to]
+        order = np.lexsort((-weight, own))
+        own, piece, to, weight = own[order], piece[order], to[order], weight[order]
+        count = np.bincount(own, minlength=n)
+        last = np.cumsum(count)
+        begin = last - count
+        shifted = np.exp(weight - np.repeat(weight[begin], count))
+        total = np.add.reduceat(shifted, begin)
+        log_z = weight[begin] + np.log(total)
+        log_q = weight - np.repeat(log_z, count)
+        q = np.exp(log_q)
+        upto = np.cumsum(q)
+        upto -= np.repeat(upto[begin] - q[begin], count)
+        upto[last - 1] = 1.0                                   # the last edge takes what is left
+        with np.errstate(divide="ignore"):
+            log_rest = np.log1p(-np.minimum(q, 1.0))
+        log_rest[begin[count == 1]] = -np.inf
+        for name, values in (("upto", upto), ("piece", piece), ("next", to), ("log_q", log_q), ("log_rest", log_rest)):
+            self._put(name, self.n_edges, values)
+        self._put("first", self.n_states, self.n_edges + last)
+        self._put("log_z", self.n_states, log_z)
+        self.n_edges += len(own)
+        self.n_states += n
+
+    def pick(self, states: np.ndarray, u: np.ndarray) -> np.ndarray:
+        """The edge of each state whose summed chance first exceeds u."""
+        edge = self.first[states - 1]
+        late = np.flatnonzero(u >= self.upto[edge])
+        while len(late):
+            edge[late] += 1
+            late = late[u[late] >= self.upto[edge[late]]]
+        return edge
+
+    def edges_of(self, edge: int) -> range:
+        """All edges of the state that `edge` leaves."""
+        k = int(np.searchsorted(self.first[: self.n_states], np.int32(edge), side="right"))
+        return range(int(self.first[k - 1]), int(self.first[k]))
 
     def walk(self, states: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Samples every word on from its state: (edges word by word, edges per word)."""
         live = np.flatnonzero(states > 0)
         s, key = states[live], keys[live]
         count = np.zeros(len(states), np.int64)
-        taken, upto = [], self.upto[: self.n_edges]
-        step = 0
+        taken, step = [], 0
         while len(live):
             step += 1
-            edge = np.searchsorted(upto, s + uniform(key + np.uint64(step)), side="right")
+            edge = self.pick(s, uniform(key + np.uint64(step)))
             count[live] += 1
             taken.append((live, edge))
             s = self.next[edge]
             on = s > 0
             live, s, key = live[on], s[on], key[on]
         at = np.cumsum(count) - count
-        out = np.empty(int(count.sum()), np.int64)
+        out = np.empty(int(count.sum()), np.int32)
         for k, (rows, edge) in enumerate(taken):
             out[at[rows] + k] = edge
         return out, count
@@ -183,7 +295,7 @@ class Path:
         mass = self.before[self.root:-1] + lattice.log_rest[self.edges[self.root:]]
         if self.taken and len(mass):                 # the root lost further edges before
             used = sum(math.exp(lattice.log_q[e]) for e in {*self.taken, int(self.edges[self.root])})
-            many = lattice_edges(lattice, self.edges[self.root])
+            many = lattice.edges_of(int(self.edges[self.root]))
             left = len(many) - len({*self.taken, int(self.edges[self.root])})
             mass[0] = self.before[self.root] + math.log(max(1 - used, 1e-300)) if left else -math.inf
         u = uniform(np.uint64(key) + np.arange(1, len(mass) + 1, dtype=np.uint64))
@@ -193,19 +305,12 @@ class Path:
         return np.minimum(out, self.value)
 
 
-def lattice_edges(lattice: Lattice, edge: int) -> range:
-    """All edges of the state that `edge` leaves."""
-    state = int(math.ceil(lattice.upto[edge])) - 1
-    return range(lattice.first[state], lattice.first[state + 1])
-
-
 def sample(lattice: Lattice, texts: list[bytes], keys: list[int], k: int) -> list[list[tuple[Path, float]]]:
     """Per text up to `k` (segmentation, log of its inclusion chance), best perturbed value first."""
-    words = [UNIT.findall(b" " + t) if t else [] for t in texts]
+    words = [lattice.v.unit.findall(b" " + t) if t else [] for t in texts]
     size = [len(w) for w in words]
     at = np.concatenate([[0], np.cumsum(size)])
-    get = lattice.state.get
-    states = np.fromiter((get(w) or lattice.start_of(w) for row in words for w in row), np.int64, int(at[-1]))
+    states = lattice.states_of(words, int(at[-1]))
     key = mix(np.array(keys, np.uint64))
 
     def word_key(i, salt):
@@ -218,7 +323,8 @@ def sample(lattice: Lattice, texts: list[bytes], keys: list[int], k: int) -> lis
     def opened(i, path):
         found[i].append(path)
         values = path.branches(lattice, int(mix(key[i:i + 1] + np.uint64(7919 * len(found[i])))[0]))
-        order = np.argsort(-values, kind="stable")[: k + 1]       # no more can be among the k + 1 best
+        order = np.argsort(-values, kind="stable")[: k + 1] if len(values) <= k + 1 else \
+            np.argpartition(-values, k)[: k + 1]                  # no more can be among the k + 1 best
         for j in order.tolist():
             if values[j] > -np.inf:
                 heapq.heappush(queue[i], (-float(values[j]), len(found[i]) - 1, path.root + j))
@@ -238,7 +344,7 @@ def sample(lattice: Lattice, texts: list[bytes], keys: list[int], k: int) -> lis
             minus, parent, j = heapq.heappop(queue[i])
             path = found[i][parent]
             taken = (*(path.taken if j == path.root else ()), int(path.edges[j]))
-            free = [e for e in lattice_edges(lattice, path.edges[j]) if e not in taken]
+            free = [e for e in lattice.edges_of(int(path.edges[j])) if e not in taken]
             q = np.exp(lattice.log_q[free])
             u = float(uniform(key[i:i + 1] + np.uint64(104729 * r))[0])
             edge = free[min(len(free) - 1, int(np.searchsorted(np.cumsum(q) / q.sum(), u, side="right")))]
@@ -273,10 +379,10 @@ def log_inclusion(x: float) -> float:
 _kept: dict = {}
 
 
-def lattice_of(path: str, alpha: float) -> Lattice:
-    """This worker's lattice; it outlives a task."""
+def vocabulary_of(path: str, alpha: float) -> Vocabulary:
+    """This worker's vocabulary; it outlives a task, lattices do not."""
     if (path, alpha) not in _kept:
-        _kept[path, alpha] = Lattice(Vocabulary(path, alpha))
+        _kept[path, alpha] = Vocabulary(path, alpha)
     return _kept[path, alpha]
 
 
@@ -288,12 +394,13 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mode
     A null or empty text has one segmentation, without pieces; a text has fewer rows than
     `samples` if it has fewer segmentations.  Characters outside the vocabulary, the
     model's own space sign among them, are spelt in byte pieces.  The row key is the id
-    (null: none), so rows that repeat an id and text repeat their samples.
+    (null: none), so rows that repeat an id and text repeat their samples.  `model` is the
+    path of a model file that every executor can read.
     """
     model = model or public_model()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lattice = lattice_of(model, alpha)
+        lattice = Lattice(vocabulary_of(model, alpha))
         for batch in batches:
             ids, texts, at = batch.column(0).to_pylist(), batch.column(1).to_pylist(), 0
             while at < len(ids):
@@ -303,7 +410,7 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mode
                     size += len(raw[-1])
                 own = ids[at:at + len(raw)]
                 at += len(raw)
-                if len(lattice.log_z) > STATES:
+                if lattice.n_states > STATES:
                     lattice.clear()
                 keys = [xxhash.xxh3_64_intdigest(f"{seed}:{i}") for i in own]
                 rows = []
@@ -325,7 +432,7 @@ def decode(encoded: DataFrame, model: str | None = None) -> DataFrame:
     model = model or public_model()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = lattice_of(model, ALPHA).v
+        vocabulary = vocabulary_of(model, ALPHA)
         for batch in batches:
             text = [vocabulary.decode(np.frombuffer(x, "<u2")).decode() for x in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(text, pa.string())],
