@@ -38,7 +38,7 @@ LENGTH = 100         # bytes of a repeated string
 GRAM = 32            # bytes of an anchor
 STEP = 1 << 18       # bytes hashed at once; longer texts are cut with overlaps
 FLUSH = 1 << 19      # anchors that a task holds before it sends them on
-SHARD_BYTES = 1 << 21  # of contexts that one suffix array sorts, about
+SHARD_BYTES = 1 << 20  # of contexts that one suffix array sorts, about
 
 _ODD = 0x9E3779B97F4A7C15
 _INVERSE = pow(_ODD, -1, 1 << 64)
@@ -276,7 +276,7 @@ def induce(text: np.ndarray, smaller: np.ndarray, lms: np.ndarray, size: int) ->
         ends = _join(all_)[::-1]
         out[c] = np.concatenate([done[c], ends])
     # the last character, smallest and alone, is no predecessor of anything: put it first
-    out[0] = np.array([len(text) - 1])
+    out[0] = np.array([len(text) - 1], np.int32)
     return np.concatenate(out)
 
 
@@ -301,13 +301,13 @@ def suffix_array(text: np.ndarray, size: int, powers: Powers) -> np.ndarray:
     n = len(text)
     if n == 1:
         return np.zeros(1, np.int64)
-    differs = np.flatnonzero(text[1:] != text[:-1])
-    following = np.append(differs, n - 1)[np.searchsorted(differs, np.arange(n))]
-    smaller = np.empty(n, bool)
-    inside = following < n - 1
-    smaller[inside] = text[following[inside]] < text[following[inside] + 1]
-    smaller[~inside] = True
-    lms = np.flatnonzero(smaller[1:] & ~smaller[:-1]) + 1
+    # where the run of equal characters that holds i ends
+    following = np.arange(n, dtype=np.int32)
+    following[:-1][text[1:] == text[:-1]] = n - 1
+    following = np.minimum.accumulate(following[::-1])[::-1]
+    smaller = text[following] < text[np.minimum(following + 1, n - 1)]
+    smaller[n - 1] = True
+    lms = (np.flatnonzero(smaller[1:] & ~smaller[:-1]) + 1).astype(np.int32)
     order = induce(text, smaller, lms, size)
     is_lms = np.zeros(n, bool)
     is_lms[lms] = True
