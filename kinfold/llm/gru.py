@@ -85,8 +85,8 @@ class Model:
                 out[rows] += x[np.arange(len(rows)), member[rows]] - np.log(np.exp(x).sum(1))
         return out
 
-    def gradient(self, inputs, targets, h) -> tuple[Model, np.ndarray, float]:
-        """(gradient of the mean loss, state to carry on, summed loss) of one window."""
+    def gradient(self, inputs, targets, h, with_loss: bool = True) -> tuple[Model, np.ndarray, float]:
+        """(gradient of the mean loss, state to carry on, summed loss if asked) of one window."""
         kept: list = []
         states = self.steps(inputs, h, kept)
         T, B = inputs.shape
@@ -97,7 +97,7 @@ class Model:
         np.exp(p, out=p)
         p /= p.sum(1, keepdims=True)
         rows = np.arange(n)
-        loss = -np.log(np.maximum(p[rows, kind], 1e-30)).sum()
+        loss = -np.log(np.maximum(p[rows, kind], 1e-30)).sum() if with_loss else 0.0
         p[rows, kind] -= 1
         p /= n
         g.wc[...], g.bc[...] = flat.T @ p, p.sum(0)
@@ -112,7 +112,8 @@ class Model:
             q = x @ self.ww[c] + self.bw[c]
             np.exp(q, out=q)
             q /= q.sum(1, keepdims=True)
-            loss -= np.log(np.maximum(q[own, member[at]], 1e-30)).sum()
+            if with_loss:
+                loss -= np.log(np.maximum(q[own, member[at]], 1e-30)).sum()
             q[own, member[at]] -= 1
             q /= n
             g.ww[c], g.bw[c] = x.T @ q, q.sum(0)
@@ -145,7 +146,7 @@ class Trainer:
     """Adam over a stream of token sequences, in windows that carry their state on."""
 
     def __init__(self, model: Model, rate: float):
-        self.model, self.rate, self.steps, self.tokens, self.loss = model, rate, 0, 0, 0.0
+        self.model, self.rate, self.steps, self.tokens = model, rate, 0, 0
         self.m = np.zeros_like(model.flat)
         self.v = np.zeros_like(model.flat)
 
@@ -160,13 +161,13 @@ class Trainer:
         targets = sequence[: width * length].reshape(width, length).T
         h = np.zeros((width, HIDDEN), f32)
         for t in range(0, length, WINDOW):
-            g, h, loss = self.model.gradient(inputs[t:t + WINDOW], targets[t:t + WINDOW], h)
+            g, h, _ = self.model.gradient(inputs[t:t + WINDOW], targets[t:t + WINDOW], h, False)
             self.tokens += targets[t:t + WINDOW].size
-            self.loss += loss
             self.update(g.flat)
         rest = sequence[width * length:]
         if len(rest):
-            g, _, loss = self.model.gradient(before[width * length:][:, None], rest[:, None], np.zeros((1, HIDDEN), f32))
+            g, _, _ = self.model.gradient(before[width * length:][:, None], rest[:, None],
+                                          np.zeros((1, HIDDEN), f32), False)
             self.tokens += len(rest)
 
     def update(self, g: np.ndarray) -> None:

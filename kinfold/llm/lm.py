@@ -31,6 +31,7 @@ COUNTED = 300_000       # distinct words that a task counts before it sends them
 WARM_DOCS = 3000        # documents of the warm-up, about; a sample by hash of the id
 WARM_PASSES = 2
 WARM_RATE, RATE = 0.01, 0.002
+SLICE = 4000            # documents that a task cuts into tokens at once
 GROUPS = 64             # partial averages of the parameters
 SMOOTH = 0.1
 FOLDS, HELD_OUT = 10, 0
@@ -117,8 +118,8 @@ def train(docs: DataFrame, lexicon, flat: np.ndarray, rate: float, passes: int)
         place = lex.places()
         trainer = gru.Trainer(gru.Model(start), rate)
         for batch in batches:
-            for first in range(0, batch.num_rows, 4000):
-                tokens, _ = _tokens(batch.column(1).slice(first, 4000).to_pylist())
+            for first in range(0, batch.num_rows, SLICE):
+                tokens, _ = _tokens(batch.column(1).slice(first, SLICE).to_pylist())
                 sequence = lex.model[np.fromiter(map(place.__getitem__, tokens), np.int64, len(tokens))]
                 for _ in range(passes):
                     trainer.feed(sequence)
@@ -155,8 +156,8 @@ def score_documents(docs: DataFrame, lexicon, flat: np.ndarray) -> DataFrame:
         place, model = lex.places(), gru.Model(params)
         logs = np.append(np.log10(lex.counts + SMOOTH), 0.0)      # the last entry serves place -1
         for whole in batches:
-            for first in range(0, whole.num_rows, 10_000):
-                batch = whole.slice(first, 10_000)
+            for first in range(0, whole.num_rows, SLICE):
+                batch = whole.slice(first, SLICE)
                 tokens, size = _tokens(batch.column(1).to_pylist())
                 ends = np.cumsum(size)
                 begins = ends - size
