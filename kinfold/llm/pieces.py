@@ -11,8 +11,9 @@ walk's.  The search always opens the best branch of all, so segmentations come i
 order of their perturbed values, none twice.  With the value after the k-th as threshold t,
 a segmentation of probability p is included with probability 1 - exp(-p / exp(t)).
 
-No piece crosses from a character to a following space, so texts are cut into words there;
-words share states with all others of their slice that end alike, and known words are kept,
+No piece crosses from a character to a following space, so texts are cut into words there,
+long ones once more wherever no piece that occurs in them crosses; what is still long is one
+lattice, built in blocks from its end.  Words share states with all others of their slice that end alike, and known words are kept,
 up to a bound, for the rest of the task.  Random
 numbers are hashes of (seed, row key, place), so every rerun gives the same samples.
 """
@@ -42,6 +43,9 @@ STATES = 1_000_000          # states that a worker keeps
 SLICE_BYTES = 1 << 20       # of text sampled at once
 MARK = "▁"             # fixed value: the model's sign for a space
 STOPS = b",.;:!?|-"           # before which a word may be cut
+LONG = 96                   # bytes of a word from which it is cut finely and built by itself
+BLOCK = 1 << 16             # bytes of a long word built at once
+FEW = 8                     # walks that go on one by one
 
 ENCODED = ("doc_id long, rank int, n_pieces long, log_prob double, perturbed double, log_inclusion double, "
            "ids binary, exact boolean")
@@ -98,15 +102,70 @@ class Vocabulary:
         """Words: spaces and what follows them, a new line, or a stop and what follows it.
 
         A cut before a stop is taken only after bytes that no piece joins with that stop, so
-        it loses no segmentation.  Words beyond the stated lengths are cut as well.
+        it loses no segmentation.  Where a piece crosses a new line or the space after
+        another character, texts are one word.
         """
+        if any(b"\n" in p or b" " in p.lstrip(b" ") for p in self.pieces):
+            return b"(?s:.+)"
         joined = {c: {p[i - 1] for p in self.pieces for i in range(1, len(p)) if p[i] == c} for c in STOPS}
         stops = b"".join(b"\\x%02x" % c for c in STOPS)
-        plain = b"[^ \\n" + stops + b"]"
+        plain = b"[^ \\n" + stops + b"]+"
         stop = b"|".join(b"(?<=[" + b"".join(b"\\x%02x" % x for x in sorted(before)) + b"])\\x%02x" % c
                          for c, before in joined.items() if before)
-        return (b" {0,16}" + plain + b"{1,64}(?:(?:" + stop + b")" + plain + b"{0,16}){0,4}"
-                + b"| {0,16}[" + stops + b"](?:" + plain + b"{1,16}|" + stop + b"){0,16}| {1,16}|\\n")
+        return (b" *(?:" + plain + b"|[" + stops + b"])(?:" + b"|".join(filter(None, [plain, stop])) + b")*| +|\\n")
+
+    def words(self, text: bytes) -> list[bytes]:
+        """The text, cut where no piece crosses."""
+        found = self.unit.findall(text)
+        if max(map(len, found), default=0) <= LONG:
+            return found
+        return list(itertools.chain.from_iterable(self.cut(w) if len(w) > LONG else (w,) for w in found))
+
+    def cut(self, word: bytes) -> Iterator[bytes]:
+        """A long word, cut before every character that no piece in it joins with the one before."""
+        data, begin = np.frombuffer(word, np.uint8), 0
+        for at in range(0, len(word), BLOCK):
+            first = max(0, at - self.longest)                  # pieces that cross into the block, too
+            part = data[first:at + BLOCK + self.longest]
+            own, _, size, _ = self.matches(part, np.arange(len(part)), np.full(len(part), len(part)))
+            crossed = np.zeros(len(part) + 1, np.int64)
+            np.add.at(crossed, own + 1, 1)
+            np.add.at(crossed, own + size, -1)
+            free = (np.cumsum(crossed)[:-1] == 0) & ((part & 0xC0) != 0x80)
+            for i in (np.flatnonzero(free) + first).tolist():
+                if max(at, begin + 1) <= i < at + BLOCK:
+                    yield word[begin:i]
+                    begin = i
+        yield word[begin:]
+
+    def matches(self, data: np.ndarray, at: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, ...]:
+        """All edges that leave `at`, each before its `end`: (index in `at`, piece, bytes, weight)."""
+        lead = data[at]
+        begins = (lead & 0xC0) != 0x80
+        width = np.where(lead < 0x80, 1, np.where(lead < 0xE0, 2, np.where(lead < 0xF0, 3, 4)))
+        spelt = np.ones(len(at), bool)                         # no piece is this character
+        own, piece, size, weight = [], [], [], []
+        live, k = np.flatnonzero(begins), 0
+        node = np.zeros(len(live), np.int64)
+        while len(live):
+            node = self.step(node, data[at[live] + k])
+            on = node >= 0
+            live, node, k = live[on], node[on], k + 1
+            hit = self.ends[node] >= 0
+            rows = live[hit]
+            own.append(rows)
+            piece.append(self.ends[node[hit]])
+            size.append(np.full(len(rows), k))
+            weight.append(self.weight[node[hit]])
+            spelt[rows[width[rows] == k]] = False
+            more = at[live] + k < end[live]
+            live, node = live[more], node[more]
+        rows = np.flatnonzero(spelt)
+        own.append(rows)
+        piece.append(self.byte_piece[lead[rows]])
+        size.append(np.ones(len(rows), np.int64))
+        weight.append(np.full(len(rows), self.byte_weight))
+        return np.concatenate(own), np.concatenate(piece), np.concatenate(size), np.concatenate(weight)
 
     def step(self, node: np.ndarray, byte: np.ndarray) -> np.ndarray:
         """The trie node after `byte`, -1 where no piece goes on."""
@@ -173,7 +232,44 @@ class Lattice:
         return places
 
     def add(self, words: list[bytes]) -> np.ndarray:
-        """States of new words, for all of them at once from their ends to their beginnings.
+        """States of new words."""
+        out = np.empty(len(words), np.int32)
+        long = np.array([len(w) > LONG for w in words])
+        if not long.all():
+            out[~long] = self._add_short([w for w in words if len(w) <= LONG])
+        for i in np.flatnonzero(long).tolist():
+            out[i] = self._add_long(words[i])
+        return out
+
+    def _add_long(self, word: bytes) -> int:
+        """The state of a word that has its states for itself, built block by block from its
+        end: a block needs of what follows it only the states that a piece can reach."""
+        data, n = np.frombuffer(word, np.uint8), len(word)
+        state = np.zeros(n + 1, np.int32)
+        for begin in range((n - 1) // BLOCK * BLOCK, -1, -BLOCK):
+            stop = min(n, begin + BLOCK)
+            at = np.arange(begin, stop)
+            own, piece, size, weight = self.v.matches(data, at, np.full(len(at), n))
+            order = np.argsort(own, kind="stable")
+            own, piece, size, weight = own[order], piece[order], size[order], weight[order]
+            first = np.concatenate([[0], np.cumsum(np.bincount(own, minlength=len(at)))]).tolist()
+            to, w = (own + size).tolist(), weight.tolist()
+            z = [0.0] * len(at) + self.log_z[state[stop:stop + self.v.longest + 1]].tolist()
+            for i in range(len(at) - 1, -1, -1):
+                a, b = first[i], first[i + 1]
+                if b - a == 1:
+                    z[i] = w[a] + z[to[a]]
+                else:
+                    values = [w[e] + z[to[e]] for e in range(a, b)]
+                    top = max(values)
+                    z[i] = top + math.log(sum([math.exp(x - top) for x in values]))
+            state[begin:stop] = self.n_states + np.arange(len(at))
+            self._put("log_z", self.n_states, np.array(z[:len(at)]))
+            self._put_states(len(at), own, piece, state[begin + own + size], weight)
+        return int(state[0])
+
+    def _add_short(self, words: list[bytes]) -> np.ndarray:
+        """States of words, for all of them at once from their ends to their beginnings.
         Words with one rest share its states."""
         data = np.frombuffer(b"\0".join(words) + b"\0", np.uint8)
         size = np.array([len(w) for w in words])
@@ -192,34 +288,12 @@ class Lattice:
 
     def _level(self, data: np.ndarray, state: np.ndarray, at: np.ndarray, end: np.ndarray) -> None:
         """Edges of the new states whose rests begin at `at`."""
-        v, n = self.v, len(at)
-        lead = data[at]
-        begins = (lead & 0xC0) != 0x80
-        width = np.where(lead < 0x80, 1, np.where(lead < 0xE0, 2, np.where(lead < 0xF0, 3, 4)))
-        spelt = np.ones(n, bool)                               # no piece is this character
-        own, piece, to, weight = [], [], [], []
-        live, k = np.flatnonzero(begins), 0
-        node = np.zeros(len(live), np.int64)
-        while len(live):
-            node = v.step(node, data[at[live] + k])
-            on = node >= 0
-            live, node, k = live[on], node[on], k + 1
-            hit = v.ends[node] >= 0
-            rows = live[hit]
-            own.append(rows)
-            piece.append(v.ends[node[hit]])
-            to.append(state[at[rows] + k])
-            weight.append(v.weight[node[hit]])
-            spelt[rows[width[rows] == k]] = False
-            more = at[live] + k < end[live]
-            live, node = live[more], node[more]
-        rows = np.flatnonzero(spelt)
-        own.append(rows)
-        piece.append(v.byte_piece[lead[rows]])
-        to.append(state[at[rows] + 1])
-        weight.append(np.full(len(rows), v.byte_weight))
-        own, piece, to = np.concatenate(own), np.concatenate(piece), np.concatenate(to)
-        weight = np.concatenate(weight) + self.log_z[to]
+        own, piece, size, weight = self.v.matches(data, at, end)
+        self._put_states(len(at), own, piece, state[at[own] + size], weight)
+
+    def _put_states(self, n: int, own: np.ndarray, piece: np.ndarray, to: np.ndarray, weight: np.ndarray) -> None:
+        """Appends `n` states with their edges."""
+        weight = weight + self.log_z[to]
         order = np.lexsort((-weight, own))
         own, piece, to, weight = own[order], piece[order], to[order], weight[order]
         count = np.bincount(own, minlength=n)
@@ -262,8 +336,14 @@ class Lattice:
         live = np.flatnonzero(states > 0)
         s, key = states[live], keys[live]
         count = np.zeros(len(states), np.int64)
-        taken, step = [], 0
+        taken, taken_late, step = [], [], 0
         while len(live):
+            if len(live) <= FEW and step >= LONG:
+                taken_late = [(row, self._walk_on(int(i), k + np.uint64(step)))
+                              for row, i, k in zip(live.tolist(), s, key)]
+                for row, late in taken_late:
+                    count[row] += len(late)
+                break
             step += 1
             edge = self.pick(s, uniform(key + np.uint64(step)))
             count[live] += 1
@@ -275,8 +355,25 @@ class Lattice:
         out = np.empty(int(count.sum()), np.int32)
         for k, (rows, edge) in enumerate(taken):
             out[at[rows] + k] = edge
+        for row, late in taken_late:
+            out[at[row] + step:at[row] + step + len(late)] = late
         return out, count
 
+    def _walk_on(self, state: int, key: np.uint64) -> np.ndarray:
+        """The edges of one walk from a state to the end of its word."""
+        out, first, upto, to = [], self.first, self.upto, self.next
+        while state > 0:
+            for u in uniform(key + np.arange(1, 4097, dtype=np.uint64)).tolist():
+                edge = first[state - 1]
+                while u >= upto[edge]:
+                    edge += 1
+                out.append(edge)
+                state = to[edge]
+                if state <= 0:
+                    break
+            key += np.uint64(4096)
+        return np.array(out, np.int32)
+
 
 def uniform(keys: np.ndarray) -> np.ndarray:
     """Numbers strictly between 0 and 1, by hashing."""
@@ -307,7 +404,7 @@ class Path:
 
 def sample(lattice: Lattice, texts: list[bytes], keys: list[int], k: int) -> list[list[tuple[Path, float]]]:
     """Per text up to `k` (segmentation, log of its inclusion chance), best perturbed value first."""
-    words = [lattice.v.unit.findall(b" " + t) if t else [] for t in texts]
+    words = [lattice.v.words(b" " + t) if t else [] for t in texts]
     size = [len(w) for w in words]
     at = np.concatenate([[0], np.cumsum(size)])
     states = lattice.states_of(words, int(at[-1]))
@@ -315,7 +412,7 @@ def sample(lattice: Lattice, texts: list[bytes], keys: list[int], k: int) -> lis
 
     def word_key(i, salt):
         shift = np.uint64(salt * 0xD1342543DE82EF95 % (1 << 64))
-        return mix(key[i:i + 1] + shift + (np.arange(size[i], dtype=np.uint64) << np.uint64(20)))
+        return mix(key[i:i + 1] + shift + (np.arange(size[i], dtype=np.uint64) << np.uint64(32)))
 
     found: list = [[] for _ in texts]
     queue: list = [[] for _ in texts]

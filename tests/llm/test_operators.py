@@ -449,6 +449,80 @@ def test_all_segmentations_of_a_short_text(lattice):
     assert all(inclusion == pytest.approx(0) for _, inclusion in found)
 
 
+def all_paths(v, raw):
+    """(log of the summed weights of all segmentations, their number), without any cut."""
+    raw = b" " + raw
+    z, n = [0.0] * (len(raw) + 1), [1] * (len(raw) + 1)
+    for at in range(len(raw) - 1, -1, -1):
+        edges = [(k, v.pieces[raw[at:at + k]][1]) for k in range(1, min(v.longest, len(raw) - at) + 1)
+                 if raw[at:at + k] in v.pieces]
+        byte = raw[at]
+        width = 1 if byte < 0x80 else 2 if byte < 0xE0 else 3 if byte < 0xF0 else 4
+        if byte & 0xC0 == 0x80 or raw[at:at + width] not in v.pieces:
+            edges.append((1, v.byte_weight))
+        top = max(w + z[at + k] for k, w in edges)
+        z[at] = top + math.log(sum(math.exp(w + z[at + k] - top) for k, w in edges))
+        n[at] = sum(n[at + k] for k, _ in edges)
+    return z[0], n[0]
+
+
+def lattice_paths(lattice, raw):
+    """The same of the lattice."""
+    words = lattice.v.words(b" " + raw)
+    assert b"".join(words) == b" " + raw
+    states = lattice.states_of([words], len(words))
+    n = {0: 1}
+
+    def paths(state):
+        todo = [state]
+        while todo:
+            s = todo[-1]
+            to = lattice.next[lattice.first[s - 1]:lattice.first[s]].tolist() if s else []
+            wait = [x for x in to if x not in n]
+            if wait:
+                todo += wait
+                continue
+            n.setdefault(s, sum(n[x] for x in to))
+            todo.pop()
+        return n[state]
+    return lattice.log_z[states].sum(), math.prod(paths(s) for s in states.tolist())
+
+
+@pytest.mark.parametrize("block", [64, pieces.BLOCK])
+@pytest.mark.parametrize("text", [
+    "是的我们在这里说明一个很长的句子" * 9, "これは空白のない長い文章ですから" * 9, "ภาษาไทยไม่มีช่องว่างระหว่างคำ" * 9,
+    "https://example.com/internationalization/list[:internationalization_of]?q=" + "abcInternational" * 30,
+    "QWxsIGhhbmRzIG9uIGRlY2s" * 30, "(-internationalization", "list[:internationalization_of]", "(?international",
+    "a" + " " * 100 + "b", "x" + "." * 150 + "y", "-" * 300 + "internationalization"])
+def test_no_segmentation_is_cut(text, block, monkeypatch):
+    monkeypatch.setattr(pieces, "BLOCK", block)
+    lattice = pieces.Lattice(pieces.Vocabulary(pieces.public_model()))
+    log_z, n = lattice_paths(lattice, text.encode())
+    want_z, want_n = all_paths(lattice.v, text.encode())
+    assert n == want_n
+    assert log_z == pytest.approx(want_z)
+
+
+def test_texts_without_spaces_keep_their_characters(lattice):
+    """The four kinds at lengths that can be listed: the lattice has just these segmentations."""
+    for text in ("是的", "ですね", "ไทย", "a.co/x", "QWxs"):
+        want = all_segmentations(lattice.v, text.encode())
+        found = pieces.sample(lattice, [text.encode()], [3], len(want) + 5)[0]
+        assert {tuple(lattice.piece[p.edges].tolist()) for p, _ in found} == set(want)
+    text = ("是" * 400).encode()
+    path = pieces.sample(lattice, [text], [1], 1)[0][0][0]
+    assert set(lattice.piece[path.edges].tolist()) <= {lattice.v.pieces["是".encode()][0], lattice.v.pieces[b" "][0]}
+
+
+def test_long_words_walk_alike(lattice, monkeypatch):
+    text = b"QWxsIGhhbmRzIG9uIGRlY2s" * 40
+    walk = lambda: [(p.edges.tolist(), p.value) for p, _ in pieces.sample(lattice, [text], [4], 3)[0]]
+    one_by_one = walk()
+    monkeypatch.setattr(pieces, "FEW", 0)
+    assert walk() == one_by_one
+    assert lattice.v.decode(lattice.piece[one_by_one[0][0]]) == text
+
+
 def test_encode_decode(spark):
     df = spark.read.parquet(f"{SF}/documents.parquet")
     encoded = stored(pieces.encode(df, samples=2))
