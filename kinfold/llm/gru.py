@@ -5,9 +5,9 @@ from __future__ import annotations
 
 import numpy as np
 
-EMBED, HIDDEN = 16, 16
-CLASSES, MEMBERS = 24, 24          # words of the model: CLASSES * MEMBERS
-STREAMS, WINDOW = 768, 16          # of training: parallel rows and steps of one update
+EMBED, HIDDEN = 16, 24
+CLASSES, MEMBERS = 36, 36          # of the smallest model, whose words are CLASSES * MEMBERS
+STREAMS, WINDOW = 192, 16          # of training: parallel rows and steps of one update
 SCORE_ROWS, SCORE_WINDOW = 512, 48
 LARGEST = 4.0                      # of a weight
 END, UNK = 0, 1                    # model words that always exist
@@ -19,17 +19,29 @@ def _sigmoid(x):
     return 1 / (1 + np.exp(-x))
 
 
+def shapes(side: int) -> dict[str, tuple[int, ...]]:
+    """Parameters of a model with `side` classes of `side` words."""
+    return {"emb": (side * side, EMBED), "wx": (EMBED, 3 * HIDDEN), "u": (HIDDEN, 3 * HIDDEN),
+            "b": (3 * HIDDEN,), "wc": (HIDDEN, side), "bc": (side,), "ww": (side, HIDDEN, side), "bw": (side, side)}
+
+
+def n_parameters(side: int) -> int:
+    return sum(int(np.prod(s)) for s in shapes(side).values())
+
+
 class Model:
-    """Parameters in one flat vector, with named views into it."""
-
-    def __init__(self, flat: np.ndarray | None = None):
-        shapes = {"emb": (CLASSES * MEMBERS, EMBED), "wx": (EMBED, 3 * HIDDEN), "u": (HIDDEN, 3 * HIDDEN),
-                  "b": (3 * HIDDEN,), "wc": (HIDDEN, CLASSES), "bc": (CLASSES,),
-                  "ww": (CLASSES, HIDDEN, MEMBERS), "bw": (CLASSES, MEMBERS)}
-        size = sum(int(np.prod(s)) for s in shapes.values())
-        self.flat = np.zeros(size, f32) if flat is None else np.array(flat, f32)
+    """Parameters in one flat vector, with named views into it.  Its length gives the size."""
+
+    def __init__(self, flat: np.ndarray | None = None, side: int = CLASSES):
+        if flat is not None:
+            side = int(np.sqrt(len(flat) / (EMBED + HIDDEN + 1)))     # never too small: side counts squared there
+            while n_parameters(side) > len(flat):
+                side -= 1
+        self.side = side
+        self.flat = np.zeros(n_parameters(side), f32) if flat is None else np.array(flat, f32)
+        assert len(self.flat) == n_parameters(side)
         at = 0
-        for name, shape in shapes.items():
+        for name, shape in shapes(side).items():
             n = int(np.prod(shape))
             setattr(self, name, self.flat[at:at + n].reshape(shape))
             at += n
@@ -40,11 +52,12 @@ class Model:
 
         Absent words (count below 0) get a bias that rules them out.
         """
-        m, rng = cls(), np.random.default_rng(seed)
+        side = int(np.sqrt(len(counts)))
+        m, rng = cls(side=side), np.random.default_rng(seed)
         for name, scale in (("emb", 0.3), ("wx", 0.3), ("u", 0.2), ("wc", 0.05), ("ww", 0.05)):
             view = getattr(m, name)
             view[...] = rng.normal(0, scale, view.shape)
-        c = np.where(counts < 0, 0, counts + 0.1).reshape(CLASSES, MEMBERS)
+        c = np.where(counts < 0, 0, counts + 0.1).reshape(side, side)
         m.bc[...] = np.log(np.maximum(c.sum(1), 1e-12) / c.sum())
         m.bw[...] = np.log(np.maximum(c, 1e-12) / np.maximum(c.sum(1, keepdims=True), 1e-12))
         m.bw[c == 0] = -60
@@ -53,12 +66,13 @@ class Model:
 
     def steps(self, inputs: np.ndarray, h: np.ndarray, keep_all: list | None = None) -> np.ndarray:
         """Hidden states after each input, (steps, rows, HIDDEN).  An END input starts afresh."""
-        table = self.emb @ self.wx + self.b
+        few = inputs.size < len(self.emb)
+        table = None if few else self.emb @ self.wx + self.b
         out = np.empty((*inputs.shape, HIDDEN), f32)
         H = HIDDEN
         for t, tokens in enumerate(inputs):
             h = h * (tokens != END)[:, None]
-            a, g = table[tokens], h @ self.u
+            a, g = self.emb[tokens] @ self.wx + self.b if few else table[tokens], h @ self.u
             rz = _sigmoid(a[:, :2 * H] + g[:, :2 * H])
             r, z = rz[:, :H], rz[:, H:]
             n = np.tanh(a[:, 2 * H:] + r * g[:, 2 * H:])
@@ -73,12 +87,12 @@ class Model:
 
         States lie in -1..1 and LARGEST bounds the weights, so exp needs no shift.
         """
-        kind, member = targets // MEMBERS, targets % MEMBERS
+        kind, member = targets // self.side, targets % self.side
         logits = states @ self.wc + self.bc
         out = logits[np.arange(len(kind)), kind] - np.log(np.exp(logits).sum(1))
         order = np.argsort(kind, kind="stable")
-        cut = np.searchsorted(kind[order], np.arange(CLASSES + 1))
-        for c in range(CLASSES):
+        cut = np.searchsorted(kind[order], np.arange(self.side + 1))
+        for c in range(self.side):
             rows = order[cut[c]:cut[c + 1]]
             if len(rows):
                 x = states[rows] @ self.ww[c] + self.bw[c]
@@ -90,9 +104,9 @@ class Model:
         kept: list = []
         states = self.steps(inputs, h, kept)
         T, B = inputs.shape
-        g = Model()
+        g = Model(side=self.side)
         flat, goal = states.reshape(-1, HIDDEN), targets.ravel()
-        kind, member, n = goal // MEMBERS, goal % MEMBERS, T * B
+        kind, member, n = goal // self.side, goal % self.side, T * B
         p = flat @ self.wc + self.bc
         np.exp(p, out=p)
         p /= p.sum(1, keepdims=True)
@@ -103,8 +117,8 @@ class Model:
         g.wc[...], g.bc[...] = flat.T @ p, p.sum(0)
         dh = p @ self.wc.T
         order = np.argsort(kind, kind="stable")
-        cut = np.searchsorted(kind[order], np.arange(CLASSES + 1))
-        for c in range(CLASSES):
+        cut = np.searchsorted(kind[order], np.arange(self.side + 1))
+        for c in range(self.side):
             at = order[cut[c]:cut[c + 1]]
             if not len(at):
                 continue
@@ -136,9 +150,9 @@ class Model:
         tokens = inputs.ravel()
         order = np.argsort(tokens, kind="stable")
         first = np.flatnonzero(np.append(True, tokens[order][1:] != tokens[order][:-1]))
-        per_word = np.zeros((CLASSES * MEMBERS, 3 * HIDDEN), f32)
-        per_word[tokens[order][first]] = np.add.reduceat(da[order], first)
-        g.b[...], g.wx[...], g.emb[...] = da.sum(0), self.emb.T @ per_word, per_word @ self.wx.T
+        own = tokens[order][first]
+        per_word = np.add.reduceat(da[order], first)
+        g.b[...], g.wx[...], g.emb[own] = da.sum(0), self.emb[own].T @ per_word, per_word @ self.wx.T
         return g, states[-1], float(loss)
 
 

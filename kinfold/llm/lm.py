@@ -3,10 +3,11 @@
 1. Words of all training documents are counted (per task first, then by word).
 2. The HEAD most frequent words - as many as a count threshold admits, at most HEAD - go to
    every task; the rest stay a table.  The model's own words are the most frequent of them,
-   in classes of equal size; all others share its word UNK, split by their counts.
+   one for OWN_SHARE words counted, in as many classes as a class has words; all others
+   share its word UNK, split by their counts.
 3. The model starts from the word frequencies, warms up on a bounded sample, then every
    partition trains it on all its training documents, and the results are averaged, weighted
-   by tokens, in two steps.
+   by tokens, in two steps, CHUNK parameters at a time.
 4. Every whole document is scored window by window, state carried on.  Words outside the
    head are looked up by a join on the word; they are rare, so no word is hot.
 """
@@ -27,12 +28,14 @@ from .common import bucket_of, documents, split_group, stored
 from .shingles import words
 
 HEAD = 200_000          # words sent to every task, at most
+OWN_SHARE = 1000        # distinct words for each word of the model's own
 COUNTED = 300_000       # distinct words that a task counts before it sends them on
 WARM_DOCS = 3000        # documents of the warm-up, about; a sample by hash of the id
 WARM_PASSES = 2
 WARM_RATE, RATE = 0.01, 0.002
 SLICE = 4000            # documents that a task cuts into tokens at once
-GROUPS = 64             # partial averages of the parameters
+GROUPS = 4              # partial averages of the parameters
+CHUNK = 1 << 14         # parameters averaged at once
 SMOOTH = 0.1
 FOLDS, HELD_OUT = 10, 0
 END = b""               # the end token; no word is empty
@@ -80,14 +83,15 @@ class Head(dict):
 
 
 class Lexicon:
-    """The head's words, counts and model words."""
+    """The head's words, counts and model words, as many as `distinct` words call for."""
 
-    def __init__(self, rows: list[tuple[bytes, int]], total: int):
+    def __init__(self, rows: list[tuple[bytes, int]], total: int, distinct: int = 0):
         rows = sorted(rows, key=lambda r: (-r[1], r[0]))
         self.words = [w for w, _ in rows]
         self.counts = np.array([n for _, n in rows], np.int64)
         self.model = np.full(len(rows) + 1, gru.UNK, np.int64)    # the last entry serves place -1
-        size = gru.CLASSES * gru.MEMBERS
+        side = max(gru.CLASSES, int(np.ceil(np.sqrt(min(distinct / OWN_SHARE, HEAD)))))
+        size = side * side
         own = [i for i, w in enumerate(self.words) if w != END][: size - 2]
         self.model[own] = np.arange(2, 2 + len(own))
         ends = [i for i, w in enumerate(self.words) if w == END]
@@ -124,22 +128,29 @@ def train(docs: DataFrame, lexicon, flat: np.ndarray, rate: float, passes: int)
                 for _ in range(passes):
                     trainer.feed(sequence)
         if trainer.tokens:
-            value = trainer.model.flat.astype(np.float64) * trainer.tokens
-            yield pa.RecordBatch.from_arrays([pa.array([float(trainer.tokens)]), pa.array([value.tobytes()], pa.binary())],
-                                             ["weight", "value"])
+            flat = trainer.model.flat
+            for k, at in enumerate(range(0, len(flat), CHUNK)):
+                value = flat[at:at + CHUNK].astype(np.float64) * trainer.tokens
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([k], pa.int32()), pa.array([float(trainer.tokens)]), pa.array([value.tobytes()], pa.binary())],
+                    ["chunk", "weight", "value"])
 
     def add(table: pa.Table) -> pa.Table:
         value = sum(np.frombuffer(v, np.float64) for v in table.column("value").to_pylist())
-        return pa.table({"weight": [float(sum(table.column("weight").to_pylist()))],
+        return pa.table({"chunk": table.column("chunk")[:1], "weight": [float(sum(table.column("weight").to_pylist()))],
                          "value": pa.array([value.tobytes()], pa.binary())})
 
-    parts = docs.mapInArrow(run, "weight double, value binary")
-    groups = parts.groupBy(F.pmod(F.spark_partition_id(), F.lit(GROUPS)).alias("k")).applyInArrow(
-        add, "weight double, value binary").collect()            # GROUPS vectors of the parameters
+    kind = "chunk int, weight double, value binary"
+    groups = docs.mapInArrow(run, kind).groupBy("chunk", F.pmod(F.spark_partition_id(), F.lit(GROUPS)).alias("k")).applyInArrow(
+        add, kind).collect()                                     # GROUPS vectors of the parameters
     if not groups:
         return flat
-    total = sum(r["weight"] for r in groups)
-    return (sum(np.frombuffer(r["value"], np.float64) for r in groups) / total).astype(np.float32)
+    total = sum(r["weight"] for r in groups if r["chunk"] == 0)
+    out = np.zeros(len(flat))
+    for r in groups:
+        value = np.frombuffer(r["value"], np.float64)
+        out[r["chunk"] * CHUNK:r["chunk"] * CHUNK + len(value)] += value
+    return (out / total).astype(np.float32)
 
 
 SCORED = ("doc_id long, n_tokens long, n_head long, log_counts double, model double, "
@@ -195,7 +206,7 @@ def log_likelihood(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         F.sum("n"), F.count("*"), F.sum(F.when(F.col("word") == F.lit(END), F.col("n")))).first()
     total, n_docs = total or 0, n_docs or 0
     least = threshold(counts, HEAD)
-    lexicon = Lexicon([(bytes(r["word"]), r["n"]) for r in counts.filter(F.col("n") >= least).collect()], total)
+    lexicon = Lexicon([(bytes(r["word"]), r["n"]) for r in counts.filter(F.col("n") >= least).collect()], total, distinct)
     base = total + SMOOTH * (distinct + 1)
     other = total - lexicon.model_counts[2:][lexicon.model_counts[2:] > 0].sum() - lexicon.model_counts[gru.END]
     lexicon.log_unknown = float(np.log10(other + SMOOTH * (distinct - lexicon.n_own + 1)))

@@ -366,6 +366,32 @@ def test_probabilities_sum_to_one():
     assert total == pytest.approx(1, abs=1e-4)
 
 
+def test_the_model_grows_with_the_vocabulary():
+    sides = []
+    for distinct in (10_000, 5_000_000, 80_000_000):
+        rows = [(b"", 50_000)] + [(b"w%d" % i, 100_000 - i) for i in range(90_000)]
+        lexicon = lm.Lexicon(rows, 10**10, distinct)
+        own = int((lexicon.model_counts > 0).sum())
+        assert own >= min(len(rows), distinct / lm.OWN_SHARE) and lexicon.model.max() == own - 1
+        model = gru.Model.start(lexicon.model_counts)
+        again = gru.Model(model.flat)
+        assert again.side == model.side and again.side ** 2 == len(lexicon.model_counts)
+        assert (again.ww == model.ww).all()
+        sides.append(again.side)
+    assert sides == [36, 71, 283]
+    assert all(gru.Model(side=n).side == gru.Model(gru.Model(side=n).flat).side == n for n in range(1, 450, 7))
+
+
+def test_chunks_of_parameters_meet_again(spark, monkeypatch):
+    """The average over partitions does not depend on how the vector is cut."""
+    docs = documents(spark, [" ".join(f"w{(i * j) % 50}" for j in range(60)) for i in range(40)]).repartition(3, "doc_id")
+    lexicon = lm.Lexicon([(b"", 40)] + [(b"w%d" % i, 100 - i) for i in range(50)], 5000, 50)
+    flat = gru.Model.start(lexicon.model_counts).flat
+    whole = lm.train(docs, lexicon, flat, 0.01, 1)
+    monkeypatch.setattr(lm, "CHUNK", 1000)
+    assert np.allclose(lm.train(docs, lexicon, flat, 0.01, 1), whole, atol=1e-6) and not np.allclose(whole, flat)
+
+
 def test_language_model(spark):
     import zlib
     rng = random.Random(7)
