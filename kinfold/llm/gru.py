@@ -183,6 +183,7 @@ class Trainer:
             g, _, _ = self.model.gradient(before[width * length:][:, None], rest[:, None],
                                           np.zeros((1, HIDDEN), f32), False)
             self.tokens += len(rest)
+            self.update(g.flat)
 
     def update(self, g: np.ndarray) -> None:
         norm = float(np.sqrt(g @ g))

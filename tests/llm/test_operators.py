@@ -392,6 +392,18 @@ def test_chunks_of_parameters_meet_again(spark, monkeypatch):
     assert np.allclose(lm.train(docs, lexicon, flat, 0.01, 1), whole, atol=1e-6) and not np.allclose(whole, flat)
 
 
+def test_the_tail_of_a_slice_is_learnt():
+    """A word that only the tail holds gets likelier."""
+    model = gru.Model.start(np.ones(gru.CLASSES * gru.MEMBERS))
+    trainer = gru.Trainer(model, 0.01)
+    sequence = np.full(16 * 3 + 2, 2)
+    sequence[-1] = 1000
+    before = model.bw.copy()
+    trainer.feed(sequence)
+    assert trainer.tokens == len(sequence)
+    assert model.bw[1000 // model.side, 1000 % model.side] > before[1000 // model.side, 1000 % model.side]
+
+
 def test_language_model(spark):
     import zlib
     rng = random.Random(7)
