@@ -214,7 +214,7 @@ def log_likelihood(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     flat = gru.Model.start(lexicon.model_counts).flat
     if total:
         share = min(1_000_000, int(1_000_000 * WARM_DOCS / max(1, n_docs)) + 1)
-        sample = learnt.filter(bucket_of(F.col("doc_id"), 1_000_000) < share)
+        sample = stored(learnt.filter(bucket_of(F.col("doc_id"), 1_000_000) < share))
         flat = train(sample.coalesce(1), lexicon, flat, WARM_RATE, WARM_PASSES)
         flat = train(learnt, lexicon, flat, RATE, 1)
 

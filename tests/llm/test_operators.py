@@ -404,6 +404,15 @@ def test_the_tail_of_a_slice_is_learnt():
     assert model.bw[1000 // model.side, 1000 % model.side] > before[1000 // model.side, 1000 % model.side]
 
 
+def test_the_warm_up_scans_in_parallel(spark, monkeypatch):
+    """The one task of the warm-up reads a stored sample, not the table."""
+    seen, train = [], lm.train
+    monkeypatch.setattr(lm, "train", lambda docs, *rest: seen.append(docs.inputFiles()) or train(docs, *rest))
+    docs = stored(documents(spark, [f"some words {i}" for i in range(200)]).repartition(4))
+    lm.log_likelihood(docs)
+    assert len(seen) == 2 and seen[0] and not {*seen[0]} & {*docs.inputFiles()}
+
+
 def test_language_model(spark):
     import zlib
     rng = random.Random(7)
