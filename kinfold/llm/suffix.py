@@ -14,6 +14,8 @@ shards are cut by content:
    the string of names sorted in its turn, a second induction for all suffixes.  numpy
    induces a whole bucket at a time.  (The string of names is sorted by rank doubling, for
    its alphabet is too large to induce bucket by bucket.)
+   An anchor with more than HOT contexts would make a shard too large: the strings of its
+   contexts are grouped by their hashes in Spark instead, all but the first being repeated.
 4. Common prefixes with the predecessor in the array are computed in text order
    (permuted), up to LENGTH; equal strings form runs, and all but a run's first
    occurrence are marked.
@@ -40,6 +42,8 @@ STEP = 1 << 18       # bytes hashed at once; longer texts are cut with overlaps
 FLUSH = 1 << 19      # anchors that a task holds before it sends them on
 SHARD_BYTES = 1 << 20  # of contexts that one suffix array sorts, about
 
+HOT = SHARD_BYTES // (2 * LENGTH - GRAM)  # contexts of one anchor that a shard takes
+
 _ODD = 0x9E3779B97F4A7C15
 _INVERSE = pow(_ODD, -1, 1 << 64)
 BYTE_VALUES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
@@ -438,6 +442,34 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
              pa.array(context, pa.binary())], ["gram", "doc_id", "lo", "context"])
 
 
+def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, lo, string) of all strings of LENGTH bytes of contexts."""
+    for batch in batches:
+        for first in range(0, batch.num_rows, 1000):
+            part = batch.slice(first, 1000)
+            doc, lo, string = [], [], []
+            for d, at, context in zip(*(part.column(c).to_pylist() for c in ("doc_id", "lo", "context"))):
+                n = max(0, len(context) - LENGTH + 1)
+                doc += [d] * n
+                lo += range(at, at + n)
+                string += [context[i:i + LENGTH] for i in range(n)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(doc, pa.int64()), pa.array(lo, pa.int64()), pa.array(string, pa.binary())],
+                ["doc_id", "lo", "string"])
+
+
+def repeated_by_hash(rows: DataFrame) -> DataFrame:
+    """(doc_id, lo, hi) of the strings that also start earlier, by 128 bits of hash; no task
+    gathers what belongs to one anchor."""
+    place = F.struct("doc_id", "lo")
+    strings = stored(rows.mapInArrow(_strings, "doc_id long, lo long, string binary").select(
+        F.xxhash64("string").alias("a"), F.xxhash64(F.lit(1), "string").alias("b"), "doc_id", "lo"))
+    several = (strings.groupBy("a", "b").agg(F.min(place).alias("first"), F.max(place).alias("last"))
+               .filter("first <> last").drop("last"))
+    return (strings.join(several, ["a", "b"]).filter(place > F.col("first"))
+            .select("doc_id", "lo", (F.col("lo") + LENGTH).alias("hi")).distinct())
+
+
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """(doc_id, lo, hi): byte spans covered by strings that also start earlier; they may overlap."""
     known = docs.filter("doc_id is not null")
@@ -445,15 +477,27 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     shares = int(spark.conf.get("spark.sql.shuffle.partitions"))
     met = stored(find_anchors(known, shares).groupBy("share").applyInArrow(
         _meet, "doc_id long, lo long, hi long, gram long, open boolean"))
-    opens = (met.filter("open").groupBy(F.col("doc_id").alias("_id"))
-             .agg(F.collect_list(F.struct("gram", "lo", "hi")).alias("opens")))
+    hot = {r["gram"] for r in met.filter("open").groupBy("gram").count().filter(F.col("count") > HOT).select("gram").collect()}
+
+    def rows(chosen: DataFrame) -> DataFrame:
+        opens = (chosen.groupBy(F.col("doc_id").alias("_id"))
+                 .agg(F.collect_list(F.struct("gram", "lo", "hi")).alias("opens")))
+        return (known.join(opens, F.col("doc_id") == F.col("_id")).select("doc_id", "text", "opens")
+                .mapInArrow(_contexts, "gram long, doc_id long, lo long, context binary"))
+
+    opened = met.filter("open")
+    by_hash = None
+    if hot:
+        # one of HOT contexts each, so few
+        grams = F.broadcast(spark.createDataFrame([(g,) for g in hot], "gram long"))
+        by_hash = repeated_by_hash(rows(opened.join(grams, "gram", "left_semi")))
+        opened = opened.join(grams, "gram", "left_anti")
     n_bytes = met.filter("open").agg(F.sum(F.col("hi") - F.col("lo"))).first()[0] or 0
     shards = max(shares, -(-n_bytes // SHARD_BYTES))
-    rows = (known.join(opens, F.col("doc_id") == F.col("_id")).select("doc_id", "text", "opens")
-            .mapInArrow(_contexts, "gram long, doc_id long, lo long, context binary"))
     shard = F.pmod(F.xxhash64("gram"), F.lit(shards)).alias("shard")
-    sorted_ = rows.groupBy(shard).applyInArrow(_sort_shard, "doc_id long, lo long, hi long")
-    return met.filter("not open").select("doc_id", "lo", "hi").unionByName(sorted_)
+    sorted_ = rows(opened).groupBy(shard).applyInArrow(_sort_shard, "doc_id long, lo long, hi long")
+    spans = met.filter("not open").select("doc_id", "lo", "hi").unionByName(sorted_)
+    return spans if by_hash is None else spans.unionByName(by_hash)
 
 
 REMOVED = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"

@@ -134,6 +134,21 @@ def test_repeated_strings(spark):
     assert [got[i] for i in range(len(texts))] == repeats_brute(texts)
 
 
+def test_hot_anchors_are_split(spark, monkeypatch):
+    """No shard takes more than HOT contexts of an anchor; the spans stay those of brute force."""
+    monkeypatch.setattr(suffix, "HOT", 5)
+    rng, line = random.Random(2), "a licence line that all hold, of some 50 bytes...."
+    rand = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    same = rand(60)
+    texts = [rand(90) + line + (same if i % 4 == 0 else rand(60)) + rand(80) for i in range(40)] + repeat_texts()
+    most, split = [], suffix.repeated_by_hash
+    monkeypatch.setattr(suffix, "repeated_by_hash", lambda rows: most.append(rows.count()) or split(rows))
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept))
+           for r in suffix.remove_repeats(documents(spark, texts)).collect()}
+    assert most and most[0] > 30
+    assert [got[i] for i in range(len(texts))] == repeats_brute(texts)
+
+
 def test_long_texts_are_cut_with_overlaps(spark, monkeypatch):
     monkeypatch.setattr(suffix, "STEP", 700)
     texts = repeat_texts()
