@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from kinfold.examples.tables import table
 
-from . import cover, exact, lines, lm, minhash, mixing, pieces, suffix, toxic, warc
+from . import cover, exact, lines, lm, minhash, mixing, negatives, pieces, quality, resample, suffix, toxic, warc
 
 
 def op1_warc(spark, sf_dir):
@@ -124,6 +124,71 @@ def op10_mixing(spark, sf_dir):
     return mixing.mixed_sizes(table(spark, sf_dir, "documents"))
 
 
+def op11_threshold_negatives(spark, sf_dir):
+    return negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
+OP11_SQL = """
+WITH v AS (SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(CAST(embedding AS DOUBLE[]), lambda c: CAST(floor(256 * c) AS BIGINT)) AS x
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda c: c IS NULL OR isnan(c) OR isinf(c))) = 0),
+s AS (SELECT a.id AS a, b.id AS b, a.label = b.label AS same,
+             CAST(list_sum(list_transform(range(1, len(a.x) + 1), lambda i: a.x[i] * b.x[i])) AS BIGINT) AS s
+      FROM v a JOIN v b ON a.id % 50 = 0 AND a.id <> b.id AND len(a.x) = len(b.x)),
+p AS (SELECT a, b AS p, s AS ps FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY s DESC, b) <= 5)
+SELECT p.a AS anchor_id, p AS positive_id,
+       CAST(row_number() OVER (PARTITION BY p.a, p ORDER BY s DESC, b) AS INTEGER) AS rank, b AS negative_id,
+       ps AS positive_score, s AS negative_score
+FROM p JOIN s ON s.a = p.a AND NOT same AND 50 * ps <= 100 * s AND 100 * s <= 95 * ps
+QUALIFY row_number() OVER (PARTITION BY p.a, p ORDER BY s DESC, b) <= 3
+"""
+
+
+def op12_discriminant(spark, sf_dir):
+    out = quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return out.select("doc_id", "held_out", "score", "predicted")
+
+
+def op13_resample(spark, sf_dir):
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def _op13_features(name, key):
+    words = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+             r"'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
+    return (f"SELECT {key} AS id, len(w) AS n_words, list_concat(w, list_transform(range(1, len(w)), "
+            f"lambda i: w[i] || ' ' || w[i + 1])) AS f FROM (SELECT {key}, {words} AS w FROM {name})")
+
+
+# The checksum's table and its steps, byte by byte, are those of the public definition.
+OP13_SQL = f"""
+WITH d AS MATERIALIZED ({_op13_features("documents", "doc_id")}),
+b AS MATERIALIZED ({_op13_features("benchmark", "item_id")}),
+df AS MATERIALIZED (SELECT id, unnest(f) AS f FROM d), bf AS MATERIALIZED (SELECT unnest(f) AS f FROM b),
+t AS MATERIALIZED (SELECT list(v ORDER BY n) AS t FROM (SELECT n, list_reduce([0, 0, 0, 0, 0, 0, 0, 0], lambda c, z:
+       CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, n) AS v FROM range(256) r(n))),
+v AS MATERIALIZED (SELECT f, xor(list_reduce(list_transform(range(1, strlen(f) + 1),
+         lambda i: CAST('0x' || substr(hex(encode(f)), 2 * i - 1, 2) AS BIGINT)),
+         lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1]), 4294967295), 4294967295) % 10000 AS k
+       FROM (SELECT DISTINCT f FROM (SELECT f FROM df UNION ALL SELECT f FROM bf)), t),
+s AS (SELECT k, count(*) AS s FROM df JOIN v USING (f) GROUP BY k),
+u AS (SELECT k, count(*) AS t FROM bf JOIN v USING (f) GROUP BY k),
+n AS (SELECT (SELECT sum(s) FROM s) AS ns, coalesce((SELECT sum(t) FROM u), 0) AS nt),
+g AS (SELECT k, CAST(floor(1000 * ln(CAST(coalesce(t, 0) + 1 AS DOUBLE) * CAST(ns + 10000 AS DOUBLE)
+        / (CAST(s + 1 AS DOUBLE) * CAST(nt + 10000 AS DOUBLE)))) AS BIGINT) AS gain FROM s LEFT JOIN u USING (k), n),
+w AS (SELECT id, CAST(floor(CAST(sum(gain) AS DOUBLE) / count(*)) AS BIGINT) AS weight
+      FROM df JOIN v USING (f) JOIN g USING (k) GROUP BY id),
+o AS (SELECT id AS doc_id, n_words, CAST(len(f) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight,
+             coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('7:' || id), 1, 8) AS BIGINT) + 0.5::DOUBLE)
+               / 4294967296::DOUBLE))) AS BIGINT) AS score FROM d LEFT JOIN w USING (id)),
+r AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank FROM o WHERE n_words >= 20)
+SELECT doc_id, n_features, weight, score,
+       CASE WHEN rank <= (SELECT 25 * count(*) // 100 FROM r) THEN rank END AS rank
+FROM o LEFT JOIN r USING (doc_id)
+"""
+
+
 QUERIES = {
     "op1_warc": (op1_warc, OP1_SQL),
     "op2_cover_tree": (op2_cover_tree, OP2_SQL),
@@ -135,4 +200,7 @@ QUERIES = {
     "op8_language_model": (op8_language_model, None),
     "op9_suffix_array": (op9_suffix_array, None),
     "op10_mixing": (op10_mixing, None),
+    "op11_threshold_negatives": (op11_threshold_negatives, OP11_SQL),
+    "op12_discriminant": (op12_discriminant, None),
+    "op13_resample": (op13_resample, OP13_SQL),
 }
