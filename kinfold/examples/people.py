@@ -7,11 +7,13 @@ last name).  The language decides what is known of the birth date.
 
 from __future__ import annotations
 
+import re
+
 from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from .. import fixed
-from ..functions import text
+from ..functions import scripts, text
 from ..operators import identity, resolve
 
 from ..plans import people as stages
@@ -48,7 +50,7 @@ def mentions(spark, sf):
 MENTIONS = r"""
 docs AS (SELECT doc_id, lang, source,
    string_split(trim(regexp_replace(text, '[ \t\r\n]+', ' ', 'g')), ' ') AS w FROM documents),
-spots AS (SELECT *, unnest(range(greatest(1, cast(ceil(len(w) / 2.0) AS BIGINT)))) AS i FROM docs),
+spots AS MATERIALIZED (SELECT *, unnest(range(greatest(1, cast(ceil(len(w) / 2.0) AS BIGINT)))) AS i FROM docs),
 mentions AS (SELECT doc_id || '_' || i AS key, w[2 * i + 1] AS first_name, w[2 * i + 2] AS last_name,
    CASE lang WHEN 'en' THEN '1980-01-01' WHEN 'fr' THEN '9999-12-31' WHEN 'es' THEN '19xx-xxx' END AS dob,
    source, doc_id FROM spots)"""
@@ -100,17 +102,17 @@ def in_list(values) -> str:
 
 # One row per distinct name first, so that the long rule chain runs once per name.
 PEOPLE = MENTIONS + f""",
-named AS (SELECT key, {name_sql("first_name", True)} AS f, {name_sql("last_name", False)} AS l,
+named AS MATERIALIZED (SELECT key, {name_sql("first_name", True)} AS f, {name_sql("last_name", False)} AS l,
    coalesce(CASE WHEN dob LIKE '%xxx%' THEN '{fixed.NULL_TOKEN}' ELSE dob END, '{fixed.NULL_TOKEN}') AS dob
    FROM (SELECT * REPLACE (CASE WHEN first_name = 'Unknown' THEN '{fixed.NULL_TOKEN}' ELSE first_name END
          AS first_name) FROM mentions)),
-real AS (SELECT * FROM named WHERE replace(f, ' ', '') NOT IN ({in_list(fixed.FIRST_NAME_PLACEHOLDERS)})
+real AS MATERIALIZED (SELECT * FROM named WHERE replace(f, ' ', '') NOT IN ({in_list(fixed.FIRST_NAME_PLACEHOLDERS)})
    AND l NOT IN ({in_list(fixed.LAST_NAME_PLACEHOLDERS)})),
 first_keys AS (SELECT f, bare, trim({phonetic_sql("tok")}) AS code FROM
    (SELECT f, bare, string_split(bare, ' ')[1] AS tok FROM
      (SELECT f, {bare_sql("f")} AS bare FROM (SELECT DISTINCT f FROM real)))),
 last_keys AS (SELECT l, trim({phonetic_sql("l")}) AS code FROM (SELECT DISTINCT l FROM real)),
-people AS (SELECT *, md5(p_first || p_last) AS group_hash FROM
+people AS MATERIALIZED (SELECT *, md5(p_first || p_last) AS group_hash FROM
   (SELECT key, key AS member, regexp_replace(r.f, '^jr', ' junior alias son of jr') AS first,
     r.l AS last, dob,
     CASE WHEN dob LIKE '9999%' THEN k.bare ELSE k.code END AS p_first,
@@ -118,20 +120,28 @@ people AS (SELECT *, md5(p_first || p_last) AS group_hash FROM
    FROM real r JOIN first_keys k ON r.f = k.f JOIN last_keys j ON r.l = j.l))"""
 
 NODES = PEOPLE + """,
-sane AS (SELECT * FROM people WHERE NOT (p_first IN ('TV') AND p_last IN ('TV', 'PX'))),
-nodes AS (SELECT group_hash, p_first, p_last, dob, first, last, min(key) AS rep,
+sane AS MATERIALIZED (SELECT * FROM people WHERE NOT (p_first IN ('TV') AND p_last IN ('TV', 'PX'))),
+nodes AS MATERIALIZED (SELECT group_hash, p_first, p_last, dob, first, last, min(key) AS rep,
    min(member) AS member, count(*) AS n_rows FROM sane
    WHERE first <> '' AND last <> '' AND p_first <> '' AND p_last <> '' GROUP BY ALL)"""
 
+# Each pair of spellings is scored once, not once per pair of nodes that bear them.
 PAIRS = NODES + """,
-pairs AS (SELECT * FROM (
+first_words AS MATERIALIZED (SELECT DISTINCT p_first, first FROM nodes),
+last_words AS MATERIALIZED (SELECT DISTINCT p_last, last FROM nodes),
+first_pairs AS MATERIALIZED (SELECT * FROM (SELECT a.p_first, a.first, b.first AS first_right,
+  round(jaro_winkler_similarity(a.first, b.first), 6) AS first_score
+  FROM first_words a JOIN first_words b ON a.p_first = b.p_first AND a.first <= b.first) WHERE first_score >= 0.85),
+last_pairs AS MATERIALIZED (SELECT * FROM (SELECT a.p_last, a.last, b.last AS last_right,
+  round(jaro_winkler_similarity(a.last, b.last), 6) AS last_score
+  FROM last_words a JOIN last_words b ON a.p_last = b.p_last) WHERE last_score >= 0.9),
+pairs AS MATERIALIZED (
   SELECT a.p_first, a.p_last, a.dob, a.group_hash, a.first, a.last, b.first AS first_right,
-   b.last AS last_right, a.rep, b.rep AS rep_right,
-   round(jaro_winkler_similarity(a.first, b.first), 6) AS first_score,
-   round(jaro_winkler_similarity(a.last, b.last), 6) AS last_score
-  FROM nodes a JOIN nodes b ON a.p_first = b.p_first AND a.p_last = b.p_last AND a.dob = b.dob
-   AND (a.first < b.first OR (a.first = b.first AND a.last < b.last)))
-  WHERE first_score >= 0.85 AND last_score >= 0.9)"""
+   b.last AS last_right, a.rep, b.rep AS rep_right, first_score, last_score
+  FROM nodes a JOIN first_pairs f ON f.p_first = a.p_first AND f.first = a.first
+  JOIN nodes b ON b.p_first = a.p_first AND b.p_last = a.p_last AND b.dob = a.dob AND b.first = f.first_right
+   AND (a.first < b.first OR a.last < b.last)
+  JOIN last_pairs l ON l.p_last = a.p_last AND l.last = a.last AND l.last_right = b.last)"""
 
 CLUSTERS = "WITH RECURSIVE " + PAIRS.lstrip() + """,
 links AS (SELECT group_hash, rep AS u, rep_right AS v FROM pairs
@@ -170,9 +180,13 @@ def name_normalise(spark, sf):
         text.strip_honorific(first).alias("bare"))
 
 
-# Customer numbers written in four scripts; the expected syllables are written by hand.
-SCRIPTS = {"абвгдежзий": "a b v g d e zh z i y", "αβγδεηθλφψ": "a v g d e i th l f ps",
-           "かきくけこシチツヘヴ": "ka ki ku ke ko shi chi tsu he vu", "가난도류을합격빛꽃뛰": "ga nan do ryu eul hap gyeok bit kkot ttwi"}
+# Customer numbers written in twelve scripts; the expected syllables are written by hand.
+SCRIPTS = {
+    "абвгдежзий": "a b v g d e zh z i y", "αβγδεηθλφψ": "a v g d e i th l f ps",
+    "かきくけこシチツヘヴ": "ka ki ku ke ko shi chi tsu he vu", "가난도류을합격빛꽃뛰": "ga nan do ryu eul hap gyeok bit kkot ttwi",
+    "אבגדלמנרשת": "a b g d l m n r sh t", "ابتجدرسشمن": "a b t j d r s sh m n", "աբգդզժլկմշ": "a b g d z zh l k m sh",
+    "აბგდზლმნრშ": "a b g d z l m n r sh", "कखगघचजटडतप": "ka kha ga gha ca ja ta da ta pa",
+    "กขงชดตทนบม": "k kh ng ch d t th n b m", "ሀለመረሰሸቀበተነ": "ha la ma ra sa sha qa ba ta na", "ＡＢＣｘｙｚ１２３９": "a b c x y z 1 2 3 9"}
 
 
 def _digits_sql(letters: list[str]) -> str:
@@ -181,18 +195,55 @@ def _digits_sql(letters: list[str]) -> str:
             f"lambda d: ([{items}])[cast(d AS INTEGER) + 1]), '')")
 
 
-@query("transliterate_scripts", f"""SELECT c_custkey, CASE c_custkey % 4
+@query("transliterate_scripts", f"""SELECT c_custkey, CASE c_custkey % {len(SCRIPTS)}
  {" ".join(f"WHEN {i} THEN {_digits_sql(v.split())}" for i, v in enumerate(SCRIPTS.values()))} END AS name
 FROM customer""")
 def transliterate_scripts(spark, sf):
     digits = F.col("c_custkey").cast("string")
     name = F.lit(None)
     for i, letters in enumerate(SCRIPTS):
-        name = F.when(F.col("c_custkey") % 4 == i, F.translate(digits, "0123456789", letters)).otherwise(name)
+        name = F.when(F.col("c_custkey") % len(SCRIPTS) == i, F.translate(digits, "0123456789", letters)).otherwise(name)
     return table(spark, sf, "customer").select(
         "c_custkey", text.normalise_name(text.transliterate(name), False).alias("name"))
 
 
+# Vowel signs, bare consonants, long marks and half-width kana change the letter before them.
+NEIGHBOURS = {"किकीकुकेकोक्कंकौकृक": "ki ki ku ke ko k kan kau kri ka", "ｶﾞｼﾞﾀﾞﾊﾟﾌﾞﾁﾞｳﾞｶｰｼｰｱｰ": "ga ji da pa bu ji vu ka shi a",
+              "কিকাকুকেকোক্কংকৈকৃক়": "ki ka ku ke ko k kan kai kri ka"}
+
+
+@query("transliterate_neighbours", f"""SELECT c_custkey, CASE c_custkey % {len(NEIGHBOURS)}
+ {" ".join(f"WHEN {i} THEN {_digits_sql(v.split())}" for i, v in enumerate(NEIGHBOURS.values()))} END AS name
+FROM customer""")
+def transliterate_neighbours(spark, sf):
+    def written(letters):
+        # a letter with its sign: the sign is not a letter of its own
+        parts = re.findall("[क][\\u0900-\\u094d]?|[ক][\\u0981-\\u09cd]?|[ｦ-ﾝ][ﾞﾟｰ]?", letters)
+        items = F.array(*[F.lit(x) for x in parts])
+        digits = F.filter(F.split(F.col("c_custkey").cast("string"), ""), lambda d: d != "")
+        return F.array_join(F.transform(digits, lambda d: F.get(items, d.cast("int"))), "")
+    name = F.lit(None)
+    for i, letters in enumerate(NEIGHBOURS):
+        name = F.when(F.col("c_custkey") % len(NEIGHBOURS) == i, written(letters)).otherwise(name)
+    return table(spark, sf, "customer").select(
+        "c_custkey", text.normalise_name(text.transliterate(name), False).alias("name"))
+
+
+# Han has readings only from a table; without one its characters are spelt out.
+HAN = dict(zip("〇一二三四五六七八九", "ling yi er san si wu liu qi ba jiu".split()))
+
+
+@query("transliterate_readings", f"""SELECT c_custkey, {_digits_sql(list(HAN.values()))} AS name,
+ 'nr ' || c_nationkey AS other FROM customer""")
+def transliterate_readings(spark, sf):
+    readings = spark.createDataFrame(list(HAN.items()) + [("九", "zz"), (None, "x"), ("x", None)], "char string, latin string")
+    rows = table(spark, sf, "customer").select(
+        "c_custkey", F.translate(F.col("c_custkey").cast("string"), "0123456789", "".join(HAN)).alias("name"),
+        F.concat(F.lit("Nr. "), "c_nationkey").alias("other"))
+    read = scripts.with_readings(rows, ["name", "other"], readings)
+    return read.select("c_custkey", *[text.normalise_name(text.transliterate(F.col(c)), True).alias(c) for c in ("name", "other")])
+
+
 STOP_FIRST, STOP_LAST = ["the", "de", "und", "que"], ["of", "la", "der", "el"]
 
 
@@ -264,11 +315,11 @@ def resolve_people(spark, sf):
 
 # Seeds: a mention in a labelled document carries an id; the id spreads by name.
 SEEDED = f"""{MENTIONS},
-seeded AS (SELECT m.*, CASE WHEN b.doc_id IS NOT NULL THEN md5(m.key) END AS seed
+seeded AS MATERIALIZED (SELECT m.*, CASE WHEN b.doc_id IS NOT NULL THEN md5(m.key) END AS seed
   FROM mentions m LEFT JOIN (SELECT DISTINCT doc_id FROM labels) b ON m.doc_id = b.doc_id),
-folded AS (SELECT *, first_name AS lf,
+folded AS MATERIALIZED (SELECT *, first_name AS lf,
    coalesce(lower(first_name), 'Unknown') AS f, coalesce(lower(last_name), 'Unknown') AS l FROM seeded),
-assigned AS (SELECT key, first_name, last_name, dob, source, coalesce(
+assigned AS MATERIALIZED (SELECT key, first_name, last_name, dob, source, coalesce(
    max(seed) OVER (PARTITION BY f, l, dob),
    md5(f || '_' || l || '_' || coalesce(dob, '{fixed.NULL_TOKEN}'))) AS passenger_hash FROM folded)"""
 
@@ -293,10 +344,10 @@ def assign_identity(spark, sf):
 
 
 INDEXED = f"""{SEEDED},
-eligible AS (SELECT key, {name_sql("first_name", True)} AS f, {name_sql("last_name", True)} AS l,
+eligible AS MATERIALIZED (SELECT key, {name_sql("first_name", True)} AS f, {name_sql("last_name", True)} AS l,
    dob, passenger_hash, source FROM assigned WHERE first_name IS NOT NULL AND last_name IS NOT NULL
    AND dob IS NOT NULL AND dob NOT LIKE '%xxx%'),
-real AS (SELECT * FROM eligible WHERE
+real AS MATERIALIZED (SELECT * FROM eligible WHERE
    f NOT IN ({in_list(fixed.FIRST_NAME_PLACEHOLDERS + fixed.INDEX_EXTRA_PLACEHOLDERS)})
    AND l NOT IN ({in_list(fixed.LAST_NAME_PLACEHOLDERS + fixed.INDEX_EXTRA_PLACEHOLDERS)})
    AND f <> '' AND l <> ''),
@@ -304,7 +355,7 @@ fk AS (SELECT f, bare, trim({phonetic_sql("tok")}) AS code FROM
    (SELECT f, bare, string_split(bare, ' ')[1] AS tok FROM
      (SELECT f, {bare_sql("f")} AS bare FROM (SELECT DISTINCT f FROM real)))),
 lk AS (SELECT l, trim(lower({phonetic_sql("l")})) AS code FROM (SELECT DISTINCT l FROM real)),
-observed AS (SELECT * FROM (SELECT key, source, CASE WHEN dob LIKE '9999%' THEN fk.bare ELSE fk.code END AS pf,
+observed AS MATERIALIZED (SELECT * FROM (SELECT key, source, CASE WHEN dob LIKE '9999%' THEN fk.bare ELSE fk.code END AS pf,
    CASE WHEN dob LIKE '9999%' THEN r.l ELSE lk.code END AS pl, dob, passenger_hash
    FROM real r JOIN fk ON r.f = fk.f JOIN lk ON r.l = lk.l) WHERE pf <> '' AND pl <> '')"""
 
@@ -378,7 +429,7 @@ def ambiguous_people(spark, sf):
 
 
 @query("unify_people", CLUSTERS + f""",
-folded AS (SELECT m.key, m.dob, c.passenger_hash AS h, coalesce(lower(first_name), 'Unknown') AS f,
+folded AS MATERIALIZED (SELECT m.key, m.dob, c.passenger_hash AS h, coalesce(lower(first_name), 'Unknown') AS f,
   coalesce(lower(last_name), 'Unknown') AS l
   FROM mentions m LEFT JOIN clusters c ON m.key = c.provisionalprimarykey)
 SELECT key, coalesce(max(h) OVER (PARTITION BY f, l, dob),

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from .. import fixed
 from ..functions import text
+from ..functions.scripts import with_readings
 from .joins import attach
-from .resolve import PersonSpec, _first_key, _last_key, has_name, reject_placeholders
+from .resolve import PersonSpec, add_keys, has_name, once, reject_placeholders
 
 ID = "passenger_hash"
 
@@ -46,21 +47,20 @@ def index_rows(profiles: DataFrame, spec: PersonSpec = PersonSpec()) -> DataFram
     dob = F.col(spec.dob).cast("string")
     known = profiles.filter(F.col(spec.first).isNotNull() & F.col(spec.last).isNotNull()
                             & dob.isNotNull() & ~dob.like(fixed.MASKED_DOB))
-    rows = known.select(
-        F.col(spec.key).alias("ProvisionalPrimaryKey"),
-        text.normalise_name(text.transliterate(F.col(spec.first)), True).alias("first"),
-        text.normalise_name(text.transliterate(F.col(spec.last)), True).alias("last"),
-        dob.alias("DateOfBirth"), ID)
+    if spec.readings is not None:
+        known = with_readings(known, [spec.first, spec.last], spec.readings)
+    rows = once(
+        known, [F.col(spec.key).alias("ProvisionalPrimaryKey"), dob.alias("DateOfBirth"), ID],
+        first=text.normalise_name(text.transliterate(F.col(spec.first)), True),
+        last=text.normalise_name(text.transliterate(F.col(spec.last)), True))
     rows = reject_placeholders(
         rows, F.col("first"), F.col("last"),
         [*spec.first_placeholders, *fixed.INDEX_EXTRA_PLACEHOLDERS],
         [*spec.last_placeholders, *fixed.INDEX_EXTRA_PLACEHOLDERS])
-    born = F.col("DateOfBirth")
     rows = rows.filter(has_name("first", "last"))
-    return rows.select(
-        "ProvisionalPrimaryKey", _first_key(F.col("first"), born).alias("pFirstName"),
-        _last_key(F.col("last"), born, lower_key=True).alias("pLastName"),
-        "DateOfBirth", ID).filter(has_name("pFirstName", "pLastName"))
+    rows = add_keys(rows, "first", "last", "DateOfBirth", True, "pFirstName", "pLastName")
+    return (rows.select("ProvisionalPrimaryKey", "pFirstName", "pLastName", "DateOfBirth", ID)
+            .filter(has_name("pFirstName", "pLastName")))
 
 
 def identity_index(profiles: DataFrame, spec: PersonSpec = PersonSpec()) -> DataFrame:
