@@ -13,7 +13,7 @@ from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from .. import fixed
-from ..functions import scripts, text
+from ..functions import dates, scripts, text
 from ..operators import identity, resolve
 
 from ..plans import people as stages
@@ -306,6 +306,35 @@ def components(spark, sf):
     return resolve.connected_components(bought.unionByName(near))
 
 
+@query("extend_components", """
+WITH RECURSIVE e AS (SELECT DISTINCT o_custkey AS u, -o_custkey - 1 AS v FROM orders
+  UNION SELECT DISTINCT c_custkey, -c_nationkey - 100000 FROM customer WHERE c_custkey % 10 < 7),
+links AS (SELECT u, v FROM e UNION SELECT v, u FROM e),
+reach(u, v) AS (SELECT u, v FROM links
+  UNION SELECT r.u, l.v FROM reach r JOIN links l ON r.v = l.u)
+SELECT u AS vertex, least(u, min(v)) AS component FROM reach GROUP BY u""")
+def extend_components(spark, sf):
+    """Yesterday: orders, and the nations of some customers; today: the nations of some more."""
+    bought = table(spark, sf, "orders").select(
+        F.col("o_custkey").alias("src"), (-F.col("o_custkey") - 1).alias("dst"))
+    near = table(spark, sf, "customer").select(
+        F.col("c_custkey").alias("src"), (-F.col("c_nationkey") - 100000).cast("bigint").alias("dst"))
+    turn = F.col("src") % 10
+    known = resolve.connected_components(bought.unionByName(near.filter(turn < 4))).checkpoint()
+    return resolve.extend_components(known, near.filter((turn >= 4) & (turn < 7))).rows
+
+
+@query("near_dates", """WITH d AS (SELECT DISTINCT o_orderstatus AS status, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS d FROM orders),
+p AS (SELECT status, d, string_split(d, '-') AS p FROM d),
+m AS (SELECT a.status, a.d AS a, b.d AS b, list_transform(range(1, 4), lambda i: damerau_levenshtein(a.p[i], b.p[i])) AS e
+  FROM p a JOIN p b ON a.status = b.status AND a.d < b.d)
+SELECT status, a, b, CASE WHEN e[1] = 1 THEN 'year' WHEN e[2] = 1 THEN 'month' ELSE 'day' END AS part
+FROM m WHERE list_sort(e) = [0, 0, 1]""")
+def near_dates(spark, sf):
+    rows = table(spark, sf, "orders").select(F.col("o_orderstatus").alias("status"), F.col("o_orderdate").cast("date").alias("d"))
+    return dates.near_dates(rows, "d", ("status",))
+
+
 @query("resolve_people", CLUSTERS + "SELECT * FROM clusters")
 def resolve_people(spark, sf):
     return stages.resolve_people(mentions(spark, sf)).clusters

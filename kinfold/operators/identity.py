@@ -73,10 +73,14 @@ def carry_over(profiles: DataFrame, old_index: DataFrame,
 
     The old index is reduced to its largest id per (names, birth date) before
     the join, so a block with many old ids meets many new rows only once each.
+    An index with a column _dob (the trimmed birth date, see `sinks.write_index`) is
+    grouped and joined where its buckets lie; only today's rows are shuffled.
     """
     observed = index_rows(profiles, spec).withColumn("_dob", F.trim("DateOfBirth"))
     block = ["pFirstName", "pLastName", "_dob"]
-    old = (old_index.filter(has_name("pFirstName", "pLastName")).withColumn("_dob", F.trim(F.col("DateOfBirth").cast("string")))
+    if "_dob" not in old_index.columns:
+        old_index = old_index.withColumn("_dob", F.trim(F.col("DateOfBirth").cast("string")))
+    old = (old_index.filter(has_name("pFirstName", "pLastName"))
            .groupBy(*block).agg(F.max(ID).alias("_old")))
     seen = observed.select(*block, ID).distinct().join(old, block)
     overrides = seen.groupBy(ID).agg(F.max("_old").alias("_old"))

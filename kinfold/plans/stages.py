@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .. import fixed
 from ..operators.identity import ambiguous_people, identity_index, quality_metrics
@@ -18,7 +19,7 @@ from .profile import build_profiles, source_columns
 from .serving import serving_rows, tables_of
 
 # Position of each output in the config's storageDetails.
-PROFILES, CLUSTERS, UNIFIED, SERVING, QUARANTINE, INDEX = range(6)
+PROFILES, CLUSTERS, UNIFIED, SERVING, QUARANTINE, INDEX, CHANGES = range(7)
 
 
 @dataclass
@@ -32,13 +33,18 @@ class Options:
     impute_dob: bool = False
     rates: Mapping[str, float] = field(default_factory=lambda: fixed.CURRENCY_RATES)
     serving: Mapping[str, object] = field(default_factory=dict)   # keywords of serving.tables_of
+    index_table: str | None = None      # identity index as a bucketed catalogue table of this name
+    index_buckets: int = 64
+    near_dates: bool = False            # see PersonSpec
+    readings: DataFrame | None = None   # see PersonSpec
 
 
 class Stages:
     """compute_profile → compute_dedupe → compute_ucp → compute_ui over one config.
 
-    With a reportPath in the config, block sizes, quality metrics and the most ambiguous
-    people are stored there.
+    With a reportPath in the config, block sizes, quality metrics, the most ambiguous people
+    and the counts of every stage are stored there.  With a seventh storage entry an
+    incremental run also keeps the changes it captures, by entity and date.
     """
 
     def __init__(self, spark: SparkSession, config: Mapping, stored_fmt: str = "avro",
@@ -47,6 +53,16 @@ class Stages:
         self.config = config
         self.stored_fmt = stored_fmt
         self.options = options or Options()
+        self.counts: dict[str, dict] = {}      # of the stages this object has written
+
+    def write(self, which: int, name: str, df: DataFrame, date: str, **counts: Column) -> str:
+        """Store a stage; its counts are taken as its rows are written."""
+        df, seen = sinks.observed(df, {"n_rows": F.count(F.lit(1)), **counts})
+        out = sinks.write_stage(df, self.path(which), date)
+        self.counts[name] = seen.get
+        fields = ", ".join(f"{c} bigint" for c in seen.get)
+        self.report(f"counts/{name}/{date}", self.spark.createDataFrame([tuple(seen.get.values())], fields))
+        return out
 
     def report(self, name: str, df: DataFrame) -> None:
         if self.config.get("reportPath"):
@@ -57,10 +73,16 @@ class Stages:
 
     def spec(self) -> PersonSpec:
         used = {"FirstName", "LastName", "DateOfBirth", "ProvisionalPrimaryKey", "PassengerID"}
-        return PersonSpec(defaults={
+        return PersonSpec(readings=self.options.readings, near_dates=self.options.near_dates, defaults={
             c["columnName"]: c.get("defaultValue") for c in self.config["profileSchema"]
             if c["columnName"] in used})
 
+    def capture_changes(self, start: str, end: str) -> dict[str, str]:
+        """Stores the 'A' rows of every entity's increments under the end date."""
+        chosen = partitions.entities(self.config, source_columns(self.config), stored_fmt=self.stored_fmt)
+        return {e.name: sinks.write_changes(partitions.changed_rows(self.spark, e, start, end),
+                                            self.path(CHANGES), e.name, end) for e in chosen}
+
     def compute_profile(self, start: str, end: str, incremental: bool = False,
                         as_of: Column | None = None) -> str:
         load = partitions.load_increments if incremental else partitions.load_full
@@ -76,7 +98,10 @@ class Stages:
         built = build_profiles(frames, self.config, registered, as_of=as_of,
                                on_null_key=self.options.on_null_key, history=self.options.history,
                                excluded_status=self.options.excluded_status)
-        return sinks.write_stage(built, self.path(PROFILES), end)
+        if incremental and len(self.config["storageDetails"]) > CHANGES:
+            self.capture_changes(start, end)
+        return self.write(PROFILES, "profiles", built, end,
+                          n_without_key=F.count_if(F.col("ProvisionalPrimaryKey").isNull()))
 
     def compute_dedupe(self, end: str) -> str:
         profiles = partitions.read_stage(self.spark, self.path(PROFILES), end)
@@ -84,7 +109,7 @@ class Stages:
         try:
             sinks.write_table(found.quarantined, self.path(QUARANTINE))
             self.report("block_sizes", found.blocks)
-            return sinks.write_stage(found.clusters, self.path(CLUSTERS), end)
+            return self.write(CLUSTERS, "clusters", found.clusters, end)
         finally:
             found.release()
 
@@ -92,17 +117,24 @@ class Stages:
         profiles = partitions.read_stage(self.spark, self.path(PROFILES), end)
         clusters = partitions.read_stage(self.spark, self.path(CLUSTERS), end)
         old = None
-        if incremental:
+        table = self.options.index_table
+        if incremental and table:
+            old = sinks.read_index(self.spark, table, end)
+        elif incremental:
             # Without its own date, so that a repeated run gives the same result.
             old = partitions.read_stage(self.spark, self.path(INDEX), day0, end,
                                         include_hi=False)
         unified = unify_profiles(profiles, clusters, old, self.spec())
         try:
-            out = sinks.write_stage(unified.profiles, self.path(UNIFIED), end)
+            out = self.write(UNIFIED, "unified", unified.profiles, end,
+                             n_without_id=F.count_if(F.col("passenger_hash").isNull()))
             # Built from what was just stored instead of once more.
             stored = partitions.read_stage(self.spark, self.path(UNIFIED), end)
             index = identity_index(stored, self.spec()) if old is None else unified.index
-            sinks.write_stage(index, self.path(INDEX), end)
+            if table:
+                sinks.write_index(index, table, end, self.options.index_buckets)
+            else:
+                self.write(INDEX, "index", index, end)
             self.report("quality_metrics", quality_metrics(stored, self.spec()))
             self.report("ambiguous_people", ambiguous_people(stored, self.spec()))
             return out

@@ -6,6 +6,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from kinfold.functions import dates
 from kinfold.operators import identity, resolve
 from kinfold.plans.people import fill_birth_dates, resolve_people, unify_profiles
 
@@ -185,3 +186,60 @@ def test_carry_over(spark):
     assert got == [("1", "old_b"), ("2", "n2"), ("3", "n3"), ("4", "old_b"), ("None", "n3")]
     assert {(r["DateOfBirth"], r["passenger_hash"]) for r in fresh.collect()} == \
         {("1999-09-09", "n2"), ("1970-01-01", "n3")}
+
+
+def test_components_extended_by_new_edges(spark):
+    """Equal to a run over all edges; only the contracted new ones are searched."""
+    rng = random.Random(11)
+    for n, cut in ((90, 60), (40, 0)):
+        edges = [(rng.randrange(n), rng.randrange(n)) for _ in range(n)] + [(5, 5), (None, 3), (3, None)]
+        frame = lambda e: spark.createDataFrame(e, "src long, dst long")
+        known = resolve.connected_components(frame(edges[:cut])).checkpoint()
+        found = resolve.extend_components(known, frame(edges[cut:]))
+        want = union_find([tuple(x if x is not None else max(filter(None, e)) for x in e) for e in edges])
+        assert {r.vertex: r.component for r in found.rows.collect()} == want
+        full = resolve.find_components(frame(edges))
+        assert {r.vertex: r.component for r in full.rows.collect()} == want
+        assert found.edges <= n - cut and found.edges <= full.edges and found.rounds <= full.rounds + 1
+
+
+def test_a_star_settles_in_one_round(spark):
+    edges = spark.range(1, 500).select(F.lit(0).cast("long").alias("src"), F.col("id").alias("dst"))
+    found = resolve.find_components(edges)
+    assert found.rounds == 1 and found.rows.filter("component <> 0").count() == 0
+
+
+def test_near_dates(spark):
+    days = ["1980-01-01", "1980-01-10", "1980-10-01", "1981-01-01", "1908-01-01", "198-01-01", "1980-1-01", "1980-01-12", "1990-02-01",
+            None, "unknown", "1980-01", "1980-01-01 ", "2080-01-01", "1980-12-01"]
+    df = spark.createDataFrame([(k, d) for k in (1, 2) for d in days], "k int, d string").filter("k = 1 or d < '1980-01-10'")
+
+    def edit(a, b):
+        if a == b or abs(len(a) - len(b)) > 1:
+            return a == b
+        cut = lambda x: {x[:i] + x[i + 1:] for i in range(len(x))}
+        if len(a) != len(b):
+            return a in cut(b) or b in cut(a)
+        diff = [i for i in range(len(a)) if a[i] != b[i]]
+        return len(diff) == 1 or (len(diff) == 2 and diff[1] == diff[0] + 1 and a[diff[0]] == b[diff[1]] and a[diff[1]] == b[diff[0]])
+    want = set()
+    for k in (1, 2):
+        own = sorted({r.d.strip() for r in df.filter(f"k = {k} and d is not null").collect() if r.d.count("-") == 2})
+        for a, b in itertools.combinations(own, 2):
+            pa, pb = a.split("-"), b.split("-")
+            off = [i for i in range(3) if pa[i] != pb[i]]
+            if len(off) == 1 and edit(pa[off[0]], pb[off[0]]):
+                want.add((k, a, b, ("year", "month", "day")[off[0]]))
+    assert {tuple(r) for r in dates.near_dates(df, "d", ("k",)).collect()} == want and len(want) > 10
+
+
+def test_resolution_with_near_dates(spark):
+    people = [("k1", "p1", "Maria", "Reyes", "1980-01-12"), ("k2", "p2", "Mariia", "Reyes", "1980-01-21"),
+              ("k3", "p3", "Maria", "Reyes", "1980-10-21"), ("k4", "p4", "Maria", "Reyes", "1975-06-06"),
+              ("k5", "p5", "Pedro", "Cruz", "1990-01-01"), ("k6", "p6", "Pedro", "Cruz", None)]
+    profiles = spark.createDataFrame(people, SCHEMA)
+    strict = {r.provisionalprimarykey for r in resolve_people(profiles).clusters.collect()}
+    assert strict == set()
+    found = resolve_people(profiles, resolve.PersonSpec(near_dates=True))
+    ids = {r.provisionalprimarykey: r.passenger_hash for r in found.clusters.collect()}
+    assert ids["k1"] == ids["k2"] == ids["k3"] and ids["k4"] != ids["k1"] and ids["k5"] != ids["k6"]

@@ -120,9 +120,85 @@ def stage_config(tmp_path):
             ("all_passengerjourneysegment", "DepartureDate")
         config["attributeMapping"].append(travel._rule(name, "GetBookerDetails", source))
         config["profileSchema"].append({"columnName": name, "dataType": "string", "defaultValue": "Unknown"})
+    config["storageDetails"].append({"pathUrl": f"{tmp_path}/out/changes"})
+    config["reportPath"] = f"{tmp_path}/out/report"
     return config
 
 
+def test_changes_are_captured_and_repeatable(spark, tmp_path):
+    """The 'A' rows, by entity and date; a second run leaves the same rows in the same place."""
+    config = stage_config(tmp_path)
+    some = config["entityDetails"][:2]
+    config["entityDetails"] = some
+    need = {e["entityName"]: None for e in some}
+    for e in some:
+        df = travel.derive_all(spark, SF, {"e": travel.ENTITY_SQL[e["entityName"]]})["e"].limit(50)
+        stored = e["pathUrl"].replace("source_open", "source_storage")
+        op = F.when(F.monotonically_increasing_id() % 5 == 0, "A").otherwise("D") if e is some[0] else F.lit("D")
+        write(df.withColumn("c_operationtype", op), stored, "vds", "2024-02-01")
+        need[e["entityName"]] = df.columns
+    stages = Stages(spark, config, stored_fmt="parquet")
+    first = stages.capture_changes("2024-02-01", "2024-02-01")
+    assert set(first) == set(need)
+    rows = {n: sorted(map(str, spark.read.parquet(p).collect())) for n, p in first.items()}
+    source = spark.read.parquet(some[0]["pathUrl"].replace("source_open", "source_storage")).filter("c_operationtype = 'A'")
+    columns = spark.read.parquet(first[some[0]["entityName"]]).columns
+    assert rows[some[0]["entityName"]] == sorted(map(str, source.select(*columns).collect())) and source.count() == 10
+    assert rows[some[1]["entityName"]] == []
+    again = stages.capture_changes("2024-02-01", "2024-02-01")
+    assert again == first and {n: sorted(map(str, spark.read.parquet(p).collect())) for n, p in again.items()} == rows
+    assert first[some[0]["entityName"]].endswith(f"changes/{some[0]['entityName']}/p_date=2024-02-01")
+
+
+def test_counts_are_observed_by_the_write(spark, tmp_path):
+    config = stage_config(tmp_path)
+    stages = Stages(spark, config)
+    df = spark.range(100).withColumn("id", F.when(F.col("id") % 10 > 0, F.col("id")))
+    # partition columns aside, the plan that writes is the plan that counts
+    path = stages.write(1, "sample", df, "2024-01-01", n_null=F.count_if(F.col("id").isNull()))
+    assert path.endswith("p_date=2024-01-01") and stages.counts["sample"] == {"n_rows": 100, "n_null": 10}
+    stored = spark.read.parquet(f"{config['reportPath']}/counts/sample/2024-01-01").first()
+    assert (stored.n_rows, stored.n_null) == (100, 10)
+    assert stages.write(1, "sample", df.limit(0), "2024-01-02") and stages.counts["sample"] == {"n_rows": 0}
+
+
+def test_bucketed_index_is_joined_in_place(spark):
+    """Only today's rows move: no exchange between the index table and the join."""
+    schema = "pFirstName string, pLastName string, DateOfBirth string, passenger_hash string"
+    spark.sql("DROP TABLE IF EXISTS identity_index_test")
+    rows = lambda tag, n: spark.createDataFrame([(f"F{i % 7}", f"L{i}", " 1980-01-01", f"{tag}{i}") for i in range(n)], schema)
+    sinks.write_index(rows("a", 40), "identity_index_test", "2024-01-01", 4)
+    sinks.write_index(rows("b", 60), "identity_index_test", "2024-01-02", 4)
+    sinks.write_index(rows("c", 50), "identity_index_test", "2024-01-02", 4)     # a repeated date is replaced
+    sinks.write_index(rows("d", 9), "identity_index_test", "2024-01-03", 4)
+    old = sinks.read_index(spark, "identity_index_test", "2024-01-03")
+    assert old.count() == 90 and set(old.columns) == {"pFirstName", "pLastName", "DateOfBirth", "passenger_hash", "_dob"}
+    profiles = spark.createDataFrame([(str(i), str(i), "Maria", f"Santos{i}", "1980-01-01", f"n{i}") for i in range(30)],
+                                     "ProvisionalPrimaryKey string, PassengerID string, FirstName string, LastName string, "
+                                     "DateOfBirth string, passenger_hash string")
+    from kinfold.operators import identity
+    index = identity.identity_index(profiles).withColumn("passenger_hash", F.concat(F.lit("old_"), "passenger_hash"))
+    sinks.write_index(index, "identity_index_test", "2024-01-04", 4)
+    old = sinks.read_index(spark, "identity_index_test", "2024-01-05")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        renewed, fresh = identity.carry_over(profiles, old)
+        seen = identity.index_rows(profiles).withColumn("_dob", F.trim("DateOfBirth")).select(*sinks.INDEX_BLOCK, "passenger_hash")
+        reduced = old.groupBy(*sinks.INDEX_BLOCK).agg(F.max("passenger_hash").alias("_old"))
+        plan = seen.join(reduced, sinks.INDEX_BLOCK)._jdf.queryExecution().executedPlan().toString()
+        moves = [line[:60] for line in plan.split("\n") if "Exchange" in line or "identity_index_test" in line]
+        # one exchange, of today's rows; none between the table's buckets and the join
+        assert len(moves) == 2 and "Exchange" in moves[0] and "FileScan" in moves[1], moves
+        plain = identity.carry_over(profiles, old.drop("_dob"))
+        got = sorted(map(str, renewed.select("ProvisionalPrimaryKey", "passenger_hash").collect()))
+        assert got == sorted(map(str, plain[0].select("ProvisionalPrimaryKey", "passenger_hash").collect()))
+        assert all("old_" in g for g in got) and fresh.count() == 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        spark.sql("DROP TABLE identity_index_test")
+
+
 def test_four_stages(spark, tmp_path):
     config = stage_config(tmp_path)
     for e in config["entityDetails"]:
