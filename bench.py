@@ -27,6 +27,7 @@ HEADLINE = [
     "histogram_json", "name_normalise", "phonetic_block", "similar_spellings", "components",
     "resolve_people", "assign_identity", "carry_over", "profile_build", "passenger_details",
     "booker_details", "score_pairs", "unify_people", "new_identities", "revenue_breakdown",
+    "near_dates", "extend_components",
 ]
 
 
