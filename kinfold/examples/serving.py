@@ -33,6 +33,35 @@ def milestones(spark, sf):
                                    "bookers": "l_suppkey", "bookings": "o_orderkey"})
 
 
+@query("milestones_by_month", """
+WITH m AS (SELECT date_trunc('month', o_orderdate) AS d, o_custkey, o_orderkey FROM orders),
+     days AS (SELECT DISTINCT d FROM m)
+SELECT strftime(days.d, '%Y-%m') AS month, count(DISTINCT o_custkey) AS customers,
+       count(DISTINCT o_orderkey) AS bookings, true AS customers_near, true AS bookings_near
+FROM days JOIN m ON m.d <= days.d AND m.d > days.d - INTERVAL 3 MONTH GROUP BY ALL""")
+def milestones_by_month(spark, sf):
+    """Customers and bookings of three months, from one stored sketch per month; next to
+    the exact counts, and whether they are within four standard errors of them."""
+    month = F.trunc("o_orderdate", "month")
+    rows = table(spark, sf, "orders").select(month.alias("d"), "o_custkey", "o_orderkey")
+    columns = {"customers": "o_custkey", "bookings": "o_orderkey"}
+    sketches = serve.milestone_sketches(rows, "d", columns)
+
+    def spans(df):      # a month counts in its own span and in the next two
+        return df.withColumn("end", F.explode(F.transform(
+            F.array(F.lit(0), F.lit(1), F.lit(2)), lambda i: F.add_months("d", i))))
+
+    merged = serve.milestones_of(spans(sketches), list(columns), "end")
+    exact = spans(rows).groupBy("end").agg(*[F.countDistinct(c).alias(f"exact_{n}")
+                                             for n, c in columns.items()])
+    months = sketches.select(F.col("d").alias("end"))
+    near = [(F.abs(F.col(n) - F.col(f"exact_{n}")) <= F.ceil(4 * 0.0082 * F.col(f"exact_{n}")))
+            .alias(f"{n}_near") for n in columns]
+    return merged.join(exact, "end").join(months, "end").select(
+        F.date_format("end", "yyyy-MM").alias("month"),
+        *[F.col(f"exact_{n}").alias(n) for n in columns], *near)
+
+
 STATUSES = ["F", "O", "P"]
 PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 
@@ -192,3 +221,30 @@ SELECT c.l_suppkey, c.lines AS l_linenumber, f.flags AS l_returnflag FROM
 def histogram_json(spark, sf):
     return serve.histogram_json(table(spark, sf, "lineitem"), "l_suppkey",
                                 ["l_linenumber", "l_returnflag"], cap=5)
+
+
+@query("timeline_parts", """
+WITH t AS (SELECT o_custkey, o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS d,
+  row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey) - 1 AS n,
+  count(*) OVER (PARTITION BY o_custkey) AS total FROM orders)
+SELECT o_custkey, n // 7 AS part, (total + 6) // 7 AS n_parts,
+  CASE WHEN n // 7 = 0 THEN '{' ELSE ',' END || string_agg(
+  '"' || n || '":{"travel_date":"' || d || '","locator":"' || o_orderkey || '"}', ',' ORDER BY n)
+  || CASE WHEN n // 7 = (total + 6) // 7 - 1 THEN '}' ELSE '' END AS Details
+FROM t GROUP BY o_custkey, n // 7, total""")
+def timeline_parts(spark, sf):
+    fields = {"travel_date": dates.date_part(F.col("o_orderdate")), "locator": F.col("o_orderkey")}
+    return serve.timeline_parts(table(spark, sf, "orders"), "o_custkey", fields, "o_orderdate",
+                                ["o_orderkey"], per_part=7)
+
+
+@query("histogram_parts", """
+WITH c AS (SELECT l_suppkey, CAST(l_partkey AS VARCHAR) AS v, count(*) AS n FROM lineitem GROUP BY 1, 2),
+ r AS (SELECT *, row_number() OVER (PARTITION BY l_suppkey ORDER BY n DESC, v) - 1 AS i,
+   count(*) OVER (PARTITION BY l_suppkey) AS total FROM c)
+SELECT l_suppkey, 'l_partkey' AS "column", i // 50 AS part, (total + 49) // 50 AS n_parts,
+  CASE WHEN i // 50 = 0 THEN '{' ELSE ',' END || string_agg('"' || v || '":' || n, ',' ORDER BY i)
+  || CASE WHEN i // 50 = (total + 49) // 50 - 1 THEN '}' ELSE '' END AS json
+FROM r GROUP BY l_suppkey, i // 50, total""")
+def histogram_parts(spark, sf):
+    return serve.histogram_parts(table(spark, sf, "lineitem"), "l_suppkey", ["l_partkey"], per_part=50)

@@ -206,6 +206,15 @@ def heavy_keys(spark, sf):
     return joins.heavy_keys(table(spark, sf, "lineitem"), "l_partkey")
 
 
+@query("frequent_keys", """
+SELECT CASE WHEN l_linenumber = 1 THEN -l_orderkey ELSE l_suppkey END AS k, count(*) AS n_rows
+FROM lineitem GROUP BY 1 ORDER BY n_rows DESC, k LIMIT 50""")
+def frequent_keys(spark, sf):
+    """Many rare keys and some frequent ones."""
+    key = F.when(F.col("l_linenumber") == 1, -F.col("l_orderkey")).otherwise(F.col("l_suppkey"))
+    return joins.frequent_keys(table(spark, sf, "lineitem").select(key.alias("k")), "k")
+
+
 @query("group_sizes", """
 SELECT lang, source, count(*) AS n_members, count(*) * (count(*) - 1) // 2 AS n_pairs
 FROM documents GROUP BY 1, 2""")

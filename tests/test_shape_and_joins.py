@@ -188,3 +188,65 @@ def test_timeline_cap_and_order(spark):
     line = json.loads(out)
     assert list(line) == [str(i) for i in range(250)]
     assert line["0"] == {"id": "999"} and line["249"] == {"id": "750"}
+
+
+def test_frequent_keys_equals_heavy_keys(spark, monkeypatch):
+    # a third of the rows null, some frequent keys, all others once
+    df = spark.range(60_000).select(
+        F.when(F.col("id") % 3 == 0, None).when(F.col("id") % 3 == 1, F.col("id") % 70)
+        .otherwise(-F.col("id")).alias("k"), (F.col("id") % 2).alias("j"))
+    want = rows(joins.heavy_keys(df, ["k", "j"], 20))
+    slow = []
+    whole = joins.heavy_keys
+    monkeypatch.setattr(joins, "heavy_keys", lambda *a: slow.append(a) or whole(*a))
+    assert rows(joins.frequent_keys(df, ["k", "j"], 20)) == want
+    assert len(slow) == 1                               # candidates only
+    assert rows(joins.frequent_keys(df, ["k", "j"], 500, min_rows=100)) == \
+        rows(whole(df, ["k", "j"], 500, 100))
+    assert len(slow) == 2
+    # the 200th key is one of many single rows: no sketch can tell
+    assert rows(joins.frequent_keys(df, ["k", "j"], 200)) == rows(whole(df, ["k", "j"], 200))
+    assert len(slow) == 4
+    assert joins.frequent_keys(df.limit(0), "k", 5).count() == 0
+
+
+def test_milestone_sketches_merge(spark):
+    df = spark.range(40_000).select((F.col("id") % 4).alias("day"), (F.col("id") % 9000).alias("who"),
+                                    F.when(F.col("id") % 4 == 0, F.col("id")).alias("rare"))
+    sketches = serve.milestone_sketches(df, "day", {"people": "who", "rare": "rare"})
+    assert sketches.count() == 4
+    one = serve.milestones_of(sketches, ["people", "rare"]).first()
+    assert abs(one["people"] - 9000) < 9000 * 0.03 and abs(one["rare"] - 10_000) < 10_000 * 0.03
+    by_day = {r["day"]: r["rare"] for r in serve.milestones_of(sketches, ["rare"], "day").collect()}
+    assert by_day[1] == by_day[2] == by_day[3] == 0 and by_day[0] == one["rare"]
+
+
+def test_parts_join_to_the_whole_text(spark):
+    # a third of the rows in one key, another under null; dates tie and are null
+    df = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, None)
+        .otherwise(F.concat(F.lit("k"), F.col("id") % 50)).alias("k"), F.col("id"),
+        F.when(F.col("id") % 11 != 0, (F.col("id") % 100).cast("string")).alias("d"),
+        (F.col("id") % 400).cast("string").alias("v"))
+    fields = {"id": F.col("id"), "d": F.col("d")}
+
+    def whole(parts, keys, name):
+        texts = {}
+        for r in parts.orderBy("part").collect():
+            key = tuple(r[k] for k in keys)
+            assert r["part"] == len(texts.setdefault(key, []))
+            texts[key].append((r["n_parts"], r[name]))
+        assert all(n == len(t) for t in texts.values() for n, _ in t)
+        return {k: "".join(x for _, x in t) for k, t in texts.items()}
+
+    line = serve.timeline_parts(df, "k", fields, "d", ["id"], per_part=30, slices=16)
+    want = serve.timeline_json(df, "k", fields, "d", ["id"], None)
+    assert whole(line, ["k"], "Details") == {(r["k"],): r["Details"] for r in want.collect()}
+    ranked = serve.rank_in_slices(df, "k", [F.col("id")], 16)
+    assert ranked.filter("k = 'hot'").agg(F.max("row_num"), F.max("n_rows")).first()[:] == (1000, 1000)
+
+    parts = serve.histogram_parts(df, "k", ["v", "d"], per_part=30, slices=16)
+    want = serve.histogram_json(df, "k", ["v", "d"])
+    assert whole(parts, ["k", "column"], "json") == {
+        (r["k"], c): r[c] for r in want.collect() for c in ("v", "d")}
+    assert serve.timeline_parts(df.limit(0), "k", fields, "d", ["id"]).count() == 0
