@@ -173,6 +173,12 @@ def draw(plan: DataFrame, shard_slots: int = SHARD_SLOTS, seed: int = 0) -> Data
             .groupBy("source", "shard").agg(F.sum("n").alias("n")).filter("n > 0"))
 
 
+def _tasks(plan: DataFrame) -> int:
+    slots_ = plan.agg(F.sum("quota")).first()[0] or 0
+    floor = int(plan.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(floor, -(-slots_ // (64 * SHARD_SLOTS)))
+
+
 def fill(counts: DataFrame, plan: DataFrame, block: int = BLOCK, seed: int = 0) -> DataFrame:
     """(source, shard, epoch, block, words): one row per slot that takes words.
 
@@ -181,7 +187,8 @@ def fill(counts: DataFrame, plan: DataFrame, block: int = BLOCK, seed: int = 0)
     """
     share = F.floor(F.col("shard") / 1024)
     first = running(counts, ["source"], share, ["shard"], "n", "first")
-    rows = (first.withColumn("j", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("n") - 1)))
+    # a count becomes as many slots: dealt anew, or few tasks would make them all
+    rows = (first.repartition(_tasks(plan), "source", "shard").withColumn("j", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("n") - 1)))
             .join(plan.select(F.col("source").alias("_s"), "source_size", "whole", "blocks"),
                   F.col("source").eqNullSafe(F.col("_s")))
             .withColumn("epoch", F.floor(F.col("j") / F.col("blocks")))
@@ -204,16 +211,23 @@ def fill(counts: DataFrame, plan: DataFrame, block: int = BLOCK, seed: int = 0)
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-        block: int = BLOCK, shard_slots: int = SHARD_SLOTS, seed: int = 0):
+        block: int = BLOCK, shard_slots: int = SHARD_SLOTS, seed: int = 0, numbered: bool = False):
     """(sized documents, plan, spans): `spans` has a row for every part of a document that a
     slot takes: source, doc_id, start, shard, epoch, first (word of the document), taken.
 
     Empty and null texts have size 0 and are in no span; repeated rows take their own places
-    in the row of words; a null source is a source of its own, the last.
+    in the row of words; a null source is a source of its own, the last.  With `numbered`,
+    documents and spans tell of the rows that share id, source and size: how many (`copies`)
+    and which of them (`nth`, from 1).
     """
     sized = stored(sizes(docs, id_col, text_col, source_col))
     plan = stored(quotas(targets(sized), block))
-    packed = stored(pack(sized))
+    packed, tags = pack(sized), []
+    if numbered:
+        alike, tags = Window.partitionBy("source", "doc_id", "size"), ["copies", "nth"]
+        packed = packed.withColumns({"copies": F.count("*").over(alike),
+                                     "nth": F.row_number().over(alike.orderBy("start"))})
+    packed = stored(packed)
     taken = fill(stored(draw(plan, shard_slots, seed)), plan, block, seed)
     parts = packed.filter("size > 0").withColumn("block", F.explode(F.sequence(
         F.floor(F.col("start") / block), F.floor((F.col("start") + F.col("size") - 1) / block))))
@@ -221,7 +235,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     met = parts.join(cuts, F.col("source").eqNullSafe(F.col("_s")) & (F.col("block") == F.col("_b")))
     lo = F.greatest(F.col("start"), F.col("block") * block)
     hi = F.least(F.col("start") + F.col("size"), F.col("block") * block + F.col("words"))
-    spans = met.select("source", "doc_id", "size", "start", "shard", "epoch",
+    spans = met.select("source", "doc_id", "size", "start", *tags, "shard", "epoch",
                        (lo - F.col("start")).alias("first"), (hi - lo).alias("taken")).filter("taken > 0")
     return packed, plan, spans
 
@@ -245,19 +259,31 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     A document taken whole keeps its text; of one taken in part, the words taken stay in
     order, each with the white space after it.  Documents of which nothing is taken are not
-    in the mix.  Rows that share id, source and size are told apart by nothing: each takes
-    the spans of all of them.
+    in the mix.  Rows that share id, source and size take each the spans of one of them.
     """
-    _, _, spans = mix(docs, id_col=id_col, text_col=text_col, source_col=source_col, **options)
-    cuts = (spans.groupBy("source", "doc_id", "start", "size", "epoch")
+    packed, _, spans = mix(docs, id_col=id_col, text_col=text_col, source_col=source_col, numbered=True, **options)
+    cuts = (spans.groupBy("source", "doc_id", "start", "size", "copies", "nth", "epoch")
             .agg(F.sum("taken").alias("taken"), F.sort_array(F.collect_list(F.struct("first", "taken"))).alias("cuts"))
-            .select("doc_id", F.col("source").alias("of"), "size", "taken", "cuts"))
+            .select("doc_id", F.col("source").alias("of"), "size", "copies", "nth", "taken", "cuts"))
     # the input's columns by place, so that none can clash
     place = {c: f"in_{i}" for i, c in enumerate(docs.columns)}
     whole = F.col(place[text_col])
-    met = docs.toDF(*place.values()).join(
-        cuts, F.col(place[id_col]).eqNullSafe(F.col("doc_id")) & F.col(place[source_col]).eqNullSafe(F.col("of"))
-        & (F.regexp_count(whole, F.lit(WORD)) == F.col("size")))
+    placed = docs.toDF(*place.values())
+    same = (F.col(place[id_col]).eqNullSafe(F.col("doc_id")) & F.col(place[source_col]).eqNullSafe(F.col("of"))
+            & (F.regexp_count(whole, F.lit(WORD)) == F.col("size")))
+    met = placed.join(cuts.filter("copies = 1"), same).drop("copies", "nth")
+    alike = stored(packed.filter("copies > 1 and nth = 1 and size > 0")
+                   .select("doc_id", F.col("source").alias("of"), "size"))
+    if not alike.isEmpty():
+        # only the rows that share all three are numbered, so only they are moved for it
+        hashed = [c for c, kind in placed.dtypes if "map<" not in kind and "variant" not in kind]
+        of_alike = Window.partitionBy("doc_id", "of", "size").orderBy(F.xxhash64(*hashed))
+        rows = (placed.join(alike, same).withColumn("_nth", F.row_number().over(of_alike))
+                .select(*place.values(), *[F.col(c).alias(f"_{c}") for c in ("doc_id", "of", "size")], "_nth"))
+        met = met.unionByName(rows.join(
+            cuts.filter("copies > 1"), F.col("_doc_id").eqNullSafe(F.col("doc_id"))
+            & F.col("_of").eqNullSafe(F.col("of")) & (F.col("_size") == F.col("size"))
+            & (F.col("_nth") == F.col("nth"))).drop("_doc_id", "_of", "_size", "_nth", "copies", "nth"))
     # words with the white space after them, and places of those taken: first is 0-based
     words = F.regexp_extract_all(whole, F.lit(f"({WORD}[\\x20\\x09-\\x0D]*)"), F.lit(1))
     part = F.array_join(F.flatten(F.transform("cuts", lambda c: F.slice(

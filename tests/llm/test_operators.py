@@ -261,6 +261,26 @@ def test_mix(spark, block):
     assert len({r.doc_id for r in out}) == len(rows)
 
 
+def test_mix_of_repeated_rows(spark):
+    # a third of the rows equal in every column, others with one id and size or with no id
+    words = lambda n, i: " ".join(f"w{i}" for _ in range(n))
+    rows = ([(1, words(9, 0), "a")] * 40 + [(2, words(5, i), "b") for i in range(20)]
+            + [(None, words(4, i), None) for i in range(20)] + [(i, words(i % 7, i), "c") for i in range(10, 50)])
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("n_chars", F.lit(0).cast("long"))
+    size = Counter()
+    for _, t, s in rows:
+        size[s] += len(t.split())
+    want, taken = targets_brute(size), Counter()
+    docs = mixing.mixed_documents(df, block=7, shard_slots=16).collect()
+    texts = Counter()
+    for r in docs:
+        taken[r.source] += len(r.text.split())
+        texts[r.text.split()[0]] += len(r.text.split())
+    assert all(abs(taken[s] - want[s]) <= 1 for s in size)
+    for i in range(20):       # rows of one id stay apart: none beyond three times its own words
+        assert texts[f"w{i}"] <= 3 * sum(len(t.split()) for _, t, _ in rows if t.startswith(f"w{i} "))
+
+
 def test_permutation(spark):
     for n in (1, 2, 7, 1000):
         df = spark.range(n).select(mixing.permuted(F.col("id"), F.lit(n).cast("long"), F.lit("k")).alias("p"))
