@@ -30,9 +30,17 @@ def serving_rows(profiles: DataFrame, as_of: Column | None = None,
                              "BookingMonth": dates.month_name(F.col("BookingDate"))})
 
 
+MILESTONES = {"customers": "passenger_hash", "journeys": "PassengerID", "bookers": "PersonID",
+              "bookings": "BookingID"}
+
+
 def index_milestone(rows: DataFrame) -> DataFrame:
-    return serve.milestones(rows, {"customers": "passenger_hash", "journeys": "PassengerID",
-                                   "bookers": "PersonID", "bookings": "BookingID"})
+    return serve.milestones(rows, MILESTONES)
+
+
+def daily_milestones(rows: DataFrame) -> DataFrame:
+    """Mergeable sketches of the milestones per booking date; see `serve.milestones_of`."""
+    return serve.milestone_sketches(rows, "BookingDate", MILESTONES)
 
 
 def revenue_breakdown(rows: DataFrame) -> DataFrame:
@@ -49,6 +57,10 @@ def _fields(revenue: str) -> dict[str, Column]:
     }
 
 
+def _booker_fields() -> dict[str, Column]:
+    return _fields("New_Revenue") | {"currency": F.col("BookingCurrency")}
+
+
 def passenger_details(rows: DataFrame, vocab: dict | None = None, *, limit: int = serve.PIVOT_VALUES,
                       values: int | None = fixed.HISTOGRAM_VALUES,
                       newest: int | None = fixed.TIMELINE_ROWS) -> DataFrame:
@@ -77,8 +89,7 @@ def booker_details(rows: DataFrame, vocab: dict | None = None, *, limit: int = s
         vocab=vocab)
     clients = serve.distinct_counterparts(rows, "PersonID", "passenger_hash", "UniqueClients")
     travelled = serve.histogram_json(rows, "PersonID", TRAVELLED, values, fixed.UNKNOWN)
-    fields = _fields("New_Revenue") | {"currency": F.col("BookingCurrency")}
-    timeline = serve.timeline_json(rows, "PersonID", fields, "TravelDate", ["PassengerID"], newest)
+    timeline = serve.timeline_json(rows, "PersonID", _booker_fields(), "TravelDate", ["PassengerID"], newest)
     return serve.combine(stats, [(travelled, "left"), (clients, "left"), (timeline, "inner")],
                          "PersonID")
 
@@ -88,6 +99,13 @@ def booker_values(rows: DataFrame) -> DataFrame:
     return serve.value_counts(rows, "PersonID", [*TRAVELLED, *fixed.BOOKER_INDICATORS], fixed.UNKNOWN)
 
 
+def booker_parts(rows: DataFrame, per_part: int = serve.PART_ROWS) -> dict[str, DataFrame]:
+    """Whole timelines and histograms of bookers of any size, in parts to be joined in order."""
+    return {"booker_timeline": serve.timeline_parts(rows, "PersonID", _booker_fields(), "TravelDate",
+                                                    ["PassengerID"], per_part=per_part),
+            "booker_histograms": serve.histogram_parts(rows, "PersonID", TRAVELLED, fixed.UNKNOWN, per_part)}
+
+
 def serving_tables(profiles: DataFrame, as_of: Column | None = None,
                    rates=fixed.CURRENCY_RATES, **options) -> dict[str, DataFrame]:
     return tables_of(serving_rows(profiles, as_of, rates), **options)
@@ -95,11 +113,18 @@ def serving_tables(profiles: DataFrame, as_of: Column | None = None,
 
 def tables_of(rows: DataFrame, *, limit: int = serve.PIVOT_VALUES, long_rows: bool = False,
               passenger_values: int | None = fixed.HISTOGRAM_VALUES, booker_histogram: int | None = None,
-              newest: int | None = fixed.TIMELINE_ROWS) -> dict[str, DataFrame]:
+              newest: int | None = fixed.TIMELINE_ROWS, per_part: int | None = None,
+              daily: bool = False) -> dict[str, DataFrame]:
+    """The serving tables by name.  On request also: booker values as long rows, whole booker
+    texts in parts of `per_part` entries, daily sketches of the milestones."""
     out = {"index_milestone": index_milestone(rows),
            "revenue_breakdown": revenue_breakdown(rows),
            "passenger_details": passenger_details(rows, limit=limit, values=passenger_values, newest=newest),
            "booker_details": booker_details(rows, limit=limit, values=booker_histogram, newest=newest)}
     if long_rows:
         out["booker_values"] = booker_values(rows)
+    if per_part:
+        out |= booker_parts(rows, per_part)
+    if daily:
+        out["daily_milestones"] = daily_milestones(rows)
     return out

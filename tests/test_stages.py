@@ -6,6 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from kinfold.examples import travel
+from kinfold.operators import serve
+from kinfold.plans import serving
 from kinfold.plans.stages import Stages
 from kinfold.sources import partitions, sinks
 
@@ -261,3 +263,29 @@ def test_merged_dimensions_equal_a_star(spark):
     looked = joins.salted_join(base, joins.merge_dimensions([(a, "ka"), (b, "kb"), (c, "kc")], "key"), "k", "key",
                                "left", null_safe=True, heavy=heavy).drop("key")
     assert sorted(map(str, looked.collect())) == sorted(map(str, star.collect()))
+
+
+def test_serving_in_parts_and_by_day(spark, tmp_path):
+    rows = travel.serving_rows(spark, SF).persist()
+    tables = serving.tables_of(rows, newest=None, per_part=3, daily=True)
+    wanted = ("index_milestone", "booker_details", "booker_timeline", "booker_histograms", "daily_milestones")
+    written = sinks.write_serving({name: tables[name] for name in wanted}, str(tmp_path))
+    read = {name: spark.read.parquet(path) for name, path in written.items()}
+
+    def whole(df, *keys):
+        texts = {}
+        for r in df.orderBy("part").collect():
+            texts.setdefault(tuple(r[k] for k in keys), []).append(r[-1])
+        return {k: "".join(v) for k, v in texts.items()}
+
+    details = read["booker_details"].collect()
+    timeline = whole(read["booker_timeline"], "PersonID")
+    known = {(r["PersonID"],): r["Details"] for r in details if r["PersonID"] is not None}
+    assert known and {k: v for k, v in timeline.items() if k != (None,)} == known
+    histograms = whole(read["booker_histograms"], "PersonID", "column")
+    assert histograms and all(histograms.get((r["PersonID"], c), "{}") == r[c]
+                              for r in details if r["PersonID"] is not None for c in serving.TRAVELLED)
+    exact = read["index_milestone"].first()
+    near = serve.milestones_of(read["daily_milestones"], list(serving.MILESTONES)).first()
+    assert all(abs(near[n] - exact[n]) <= 0.04 * exact[n] + 1 for n in serving.MILESTONES)
+    rows.unpersist()
