@@ -14,14 +14,18 @@ shards are cut by content:
    the string of names sorted in its turn, a second induction for all suffixes.  numpy
    induces a whole bucket at a time.  (The string of names is sorted by rank doubling, for
    its alphabet is too large to induce bucket by bucket.)
-   An anchor with more than HOT contexts would make a shard too large: the strings of its
-   contexts are grouped by their hashes in Spark instead, all but the first being repeated.
+   An anchor with more than HOT contexts would make a shard uneven.  It is widened: a string
+   around it reaches half of what is missing to LENGTH on its left or on its right, so each
+   context goes to the anchor with those bytes on its left and to that with those on its
+   right, cut to what strings around these can reach.  Equal contexts collapse again, what
+   is alone with its anchor is done with, and what is still hot is widened once more, until
+   an anchor is a whole string.
 4. Common prefixes with the predecessor in the array are computed in text order
    (permuted), up to LENGTH; equal strings form runs, and all but a run's first
    occurrence are marked.
 
 Spans merge per document at the end.  What a task holds is one input batch, one share of
-the anchors or one shard.
+the anchors (shares and shards follow the input) or one shard.
 """
 
 from __future__ import annotations
@@ -30,7 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import documents, stored
@@ -41,8 +45,8 @@ GRAM = 32            # bytes of an anchor
 STEP = 1 << 18       # bytes hashed at once; longer texts are cut with overlaps
 FLUSH = 1 << 19      # anchors that a task holds before it sends them on
 SHARD_BYTES = 1 << 20  # of contexts that one suffix array sorts, about
-
-HOT = SHARD_BYTES // (2 * LENGTH - GRAM)  # contexts of one anchor that a shard takes
+SHARE_BYTES = 1 << 25  # of texts whose anchors meet in one share, about
+HOT = 512            # contexts of one anchor that a shard takes, a twelfth of it
 
 _ODD = 0x9E3779B97F4A7C15
 _INVERSE = pow(_ODD, -1, 1 << 64)
@@ -208,15 +212,17 @@ def _meet(table: pa.Table) -> pa.Table:
     found = np.frombuffer(b"".join(table.column("found").to_pylist()), ANCHOR)
     spans = np.frombuffer(b"".join(table.column("spans").to_pylist()), SPAN)
     first, later = first_contexts(found)
-    grams, back, count = np.unique(first["gram"], return_inverse=True, return_counts=True)
-    open_ = first[count[back] > 1] if len(first) else first
+    _, back, count = np.unique(first["gram"], return_inverse=True, return_counts=True)
+    together = count[back]
+    open_, together = first[together > 1], together[together > 1]
     spans = merged(np.concatenate([spans, later]))
     doc = np.concatenate([spans["doc"], open_["doc"]])
     lo = np.concatenate([spans["lo"], open_["lo"]])
     hi = np.concatenate([spans["hi"], open_["lo"] + open_["size"]])
     gram = np.concatenate([np.zeros(len(spans), np.int64), open_["gram"].view(np.int64)])
-    kind = np.repeat([False, True], [len(spans), len(open_)])
-    return pa.table({"doc_id": doc, "lo": lo, "hi": hi, "gram": gram, "open": kind})
+    at = np.concatenate([np.zeros(len(spans), np.int32), open_["at"]])
+    n = np.concatenate([np.zeros(len(spans), np.int64), together])
+    return pa.table({"doc_id": doc, "lo": lo, "hi": hi, "gram": gram, "at": at, "n": n})
 
 
 # --- suffix arrays ------------------------------------------------------------------
@@ -424,80 +430,101 @@ def _sort_shard(table: pa.Table) -> pa.Table:
     return pa.table({"doc_id": spans["doc"], "lo": spans["lo"], "hi": spans["hi"]})
 
 
+CONTEXT = "key long, doc_id long, lo long, at int, n long, context binary"
+
+
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(gram, doc_id, lo, context) of documents and their open anchors."""
+    """CONTEXT rows of documents and their open anchors."""
     for batch in batches:
         ids, opens = batch.column(0).to_pylist(), batch.column(2)
         texts = batch.column(1).cast(pa.large_binary())
-        doc, gram, lo, context = [], [], [], []
+        doc, gram, lo, at, n, context = [], [], [], [], [], []
         for i, key in enumerate(ids):
             raw = texts[i].as_py()
             for o in opens[i].as_py():
                 doc.append(key)
                 gram.append(o["gram"])
                 lo.append(o["lo"])
+                at.append(o["at"])
+                n.append(o["n"])
                 context.append(raw[o["lo"]:o["hi"]])
         yield pa.RecordBatch.from_arrays(
             [pa.array(gram, pa.int64()), pa.array(doc, pa.int64()), pa.array(lo, pa.int64()),
-             pa.array(context, pa.binary())], ["gram", "doc_id", "lo", "context"])
-
-
-def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, lo, string) of all strings of LENGTH bytes of contexts."""
-    for batch in batches:
-        for first in range(0, batch.num_rows, 1000):
-            part = batch.slice(first, 1000)
-            doc, lo, string = [], [], []
-            for d, at, context in zip(*(part.column(c).to_pylist() for c in ("doc_id", "lo", "context"))):
-                n = max(0, len(context) - LENGTH + 1)
-                doc += [d] * n
-                lo += range(at, at + n)
-                string += [context[i:i + LENGTH] for i in range(n)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(doc, pa.int64()), pa.array(lo, pa.int64()), pa.array(string, pa.binary())],
-                ["doc_id", "lo", "string"])
-
-
-def repeated_by_hash(rows: DataFrame) -> DataFrame:
-    """(doc_id, lo, hi) of the strings that also start earlier, by 128 bits of hash; no task
-    gathers what belongs to one anchor."""
-    place = F.struct("doc_id", "lo")
-    strings = stored(rows.mapInArrow(_strings, "doc_id long, lo long, string binary").select(
-        F.xxhash64("string").alias("a"), F.xxhash64(F.lit(1), "string").alias("b"), "doc_id", "lo"))
-    several = (strings.groupBy("a", "b").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-               .filter("first <> last").drop("last"))
-    return (strings.join(several, ["a", "b"]).filter(place > F.col("first"))
-            .select("doc_id", "lo", (F.col("lo") + LENGTH).alias("hi")).distinct())
+             pa.array(at, pa.int32()), pa.array(n, pa.int64()), pa.array(context, pa.binary())],
+            ["key", "doc_id", "lo", "at", "n", "context"])
+
+
+def widened(rows: DataFrame, width: int) -> tuple[DataFrame, int]:
+    """(CONTEXT rows without n, width): contexts of anchors of `width` bytes under the wider
+    anchors that hold half of the missing bytes on their left, or on their right."""
+    missing = LENGTH - width
+    step = -(-missing // 2)
+    reach = missing - step
+    end = F.col("at") + width
+
+    def side(begin: Column, stop: Column, holds: Column) -> Column:
+        """The anchor that starts at `begin`, in what strings around it reach."""
+        first = F.greatest(begin - reach, F.lit(0))
+        last = F.least(stop + reach, F.length("context"))
+        return F.when(holds & (last - first >= LENGTH), F.struct(
+            F.xxhash64(F.substring("context", begin + 1, F.lit(width + step))).alias("key"),
+            (F.col("lo") + first).alias("lo"), (begin - first).cast("int").alias("at"),
+            F.substring("context", first + 1, last - first).alias("context")))
+
+    left = side(F.col("at") - step, end, F.col("at") >= step)
+    right = side(F.col("at"), end + step, F.length("context") - end >= step)
+    sides = rows.select("doc_id", F.explode(F.array_compact(F.array(left, right))).alias("s"))
+    return sides.select("s.key", "doc_id", "s.lo", "s.at", "s.context"), width + step
+
+
+def split_hot(rows: DataFrame) -> tuple[list[DataFrame], list[DataFrame]]:
+    """(contexts whose anchors have up to HOT of them, spans of repeated contexts) of CONTEXT
+    rows whose anchors have more."""
+    cold, spans, width = [], [], GRAM
+    place = F.struct("doc_id", "lo", "at")
+    while width < LENGTH and not rows.isEmpty():
+        wide, width = widened(rows, width)
+        wide = stored(wide)
+        firsts = wide.groupBy("key", "context").agg(F.min(place).alias("first"), F.max(place).alias("last"))
+        again = firsts.filter("first.doc_id <> last.doc_id or first.lo <> last.lo").select(
+            F.col("key").alias("_key"), F.col("context").alias("_context"), "first")
+        later = wide.join(again, (F.col("key") == F.col("_key")) & (F.col("context") == F.col("_context")))
+        spans.append(later.filter(F.struct("doc_id", "lo") > F.struct("first.doc_id", "first.lo")).select(
+            "doc_id", "lo", (F.col("lo") + F.length("context")).alias("hi")))
+        if width == LENGTH:
+            break                                   # what an anchor holds is one string now
+        firsts = stored(firsts.select("key", "first.*", "context"))
+        sizes = firsts.groupBy(F.col("key").alias("_key")).agg(F.count("*").alias("n")).filter("n > 1")
+        met = stored(firsts.join(sizes, F.col("key") == F.col("_key")).drop("_key"))
+        cold.append(met.filter(F.col("n") <= HOT))
+        rows = met.filter(F.col("n") > HOT)
+    return cold, spans
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """(doc_id, lo, hi): byte spans covered by strings that also start earlier; they may overlap."""
     known = docs.filter("doc_id is not null")
-    spark = docs.sparkSession
-    shares = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    met = stored(find_anchors(known, shares).groupBy("share").applyInArrow(
-        _meet, "doc_id long, lo long, hi long, gram long, open boolean"))
-    hot = {r["gram"] for r in met.filter("open").groupBy("gram").count().filter(F.col("count") > HOT).select("gram").collect()}
-
-    def rows(chosen: DataFrame) -> DataFrame:
-        opens = (chosen.groupBy(F.col("doc_id").alias("_id"))
-                 .agg(F.collect_list(F.struct("gram", "lo", "hi")).alias("opens")))
-        return (known.join(opens, F.col("doc_id") == F.col("_id")).select("doc_id", "text", "opens")
-                .mapInArrow(_contexts, "gram long, doc_id long, lo long, context binary"))
-
-    opened = met.filter("open")
-    by_hash = None
-    if hot:
-        # one of HOT contexts each, so few
-        grams = F.broadcast(spark.createDataFrame([(g,) for g in hot], "gram long"))
-        by_hash = repeated_by_hash(rows(opened.join(grams, "gram", "left_semi")))
-        opened = opened.join(grams, "gram", "left_anti")
-    n_bytes = met.filter("open").agg(F.sum(F.col("hi") - F.col("lo"))).first()[0] or 0
-    shards = max(shares, -(-n_bytes // SHARD_BYTES))
-    shard = F.pmod(F.xxhash64("gram"), F.lit(shards)).alias("shard")
-    sorted_ = rows(opened).groupBy(shard).applyInArrow(_sort_shard, "doc_id long, lo long, hi long")
-    spans = met.filter("not open").select("doc_id", "lo", "hi").unionByName(sorted_)
-    return spans if by_hash is None else spans.unionByName(by_hash)
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n_bytes = known.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    shares = max(parts, -(-n_bytes // SHARE_BYTES))
+    met = stored(find_anchors(known, shares).repartition(shares, "share").groupBy("share").applyInArrow(
+        _meet, "doc_id long, lo long, hi long, gram long, at int, n long"))
+    opens = (met.filter("n > 0").groupBy(F.col("doc_id").alias("_id"))
+             .agg(F.collect_list(F.struct("gram", "lo", "hi", "at", "n")).alias("opens")))
+    contexts = stored(known.join(opens, F.col("doc_id") == F.col("_id")).select("doc_id", "text", "opens")
+                      .mapInArrow(_contexts, CONTEXT))
+    cold, spans = split_hot(contexts.filter(F.col("n") > HOT))
+    columns = ["key", "doc_id", "lo", "context"]
+    for_arrays = contexts.filter(F.col("n") <= HOT).select(*columns)
+    for part in cold:
+        for_arrays = for_arrays.unionByName(part.select(*columns))
+    n_bytes = for_arrays.agg(F.sum(F.length("context"))).first()[0] or 0
+    shards = max(parts, -(-n_bytes // SHARD_BYTES))
+    shard = F.pmod(F.xxhash64("key"), F.lit(shards)).alias("shard")
+    out = for_arrays.groupBy(shard).applyInArrow(_sort_shard, "doc_id long, lo long, hi long")
+    for part in [met.filter("n = 0").select("doc_id", "lo", "hi"), *spans]:
+        out = out.unionByName(part)
+    return out
 
 
 REMOVED = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"

@@ -137,15 +137,27 @@ def test_repeated_strings(spark):
 def test_hot_anchors_are_split(spark, monkeypatch):
     """No shard takes more than HOT contexts of an anchor; the spans stay those of brute force."""
     monkeypatch.setattr(suffix, "HOT", 5)
+    monkeypatch.setattr(suffix, "SHARE_BYTES", 2000)
     rng, line = random.Random(2), "a licence line that all hold, of some 50 bytes...."
     rand = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
     same = rand(60)
     texts = [rand(90) + line + (same if i % 4 == 0 else rand(60)) + rand(80) for i in range(40)] + repeat_texts()
-    most, split = [], suffix.repeated_by_hash
-    monkeypatch.setattr(suffix, "repeated_by_hash", lambda rows: most.append(rows.count()) or split(rows))
+    edge = rand(20)                    # bytes that a wider anchor takes in before the texts differ
+    texts += [rand(90) + edge + line + edge[:i % 19] + rand(80) for i in range(30)]
+    most, left, split, widen = [], [], suffix.split_hot, suffix.widened
+
+    def splitting(rows):
+        most.append(rows.count())
+        cold, spans = split(rows)
+        left.extend(r["count"] for part in cold for r in part.groupBy("key").count().collect())
+        return cold, spans
+
+    widths = []
+    monkeypatch.setattr(suffix, "widened", lambda rows, width: widths.append(width) or widen(rows, width))
+    monkeypatch.setattr(suffix, "split_hot", splitting)
     got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept))
            for r in suffix.remove_repeats(documents(spark, texts)).collect()}
-    assert most and most[0] > 30
+    assert most[0] > 30 and left and max(left) <= 5 and len(widths) > 2
     assert [got[i] for i in range(len(texts))] == repeats_brute(texts)
 
 
