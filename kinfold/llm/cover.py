@@ -40,6 +40,8 @@ SLACK = 1e-5             # bounds are computed in single precision
 
 def unit_vectors(column) -> np.ndarray:
     x = np.array(column.tolist(), np.float64)
+    # by a power of two first, which rounds nothing: squares neither over- nor underflow
+    x = np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 

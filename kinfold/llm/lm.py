@@ -193,11 +193,13 @@ def score_documents(docs: DataFrame, lexicon, flat: np.ndarray) -> DataFrame:
 
 
 def log_likelihood(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
+    """One row per input row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     A null text is the empty one: its only token is the end.  Null ids are trained on, not
-    held out; rows that share an id are scored together (their sums).  An empty table gives
-    no rows; without training rows every word is unknown.
+    held out; rows that share an id, or have none, are scored each on its own.  An empty
+    table gives no rows; without training rows every word is unknown.  Parameters are
+    averaged over the partitions once, so the score depends a little on how the table is
+    split.
     """
     texts = documents(docs, id_col, text_col)
     learnt = texts.filter(F.coalesce(split_group(F.col("doc_id"), FOLDS) != HELD_OUT, F.lit(True)))
@@ -218,17 +220,17 @@ def log_likelihood(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         flat = train(sample.coalesce(1), lexicon, flat, WARM_RATE, WARM_PASSES)
         flat = train(learnt, lexicon, flat, RATE, 1)
 
-    scored = stored(score_documents(texts, lexicon, flat))
-    rest = scored.select("doc_id", F.explode("rest").alias("word"))
+    # numbered as they are stored: no later stage numbers them again
+    scored = stored(score_documents(texts, lexicon, flat).withColumn("row", F.monotonically_increasing_id()))
+    rest = scored.select("row", F.explode("rest").alias("word"))
     tail = counts.filter(F.col("n") < least).select(F.col("word").alias("_word"), F.col("n").alias("c"))
     looked = (rest.join(tail, F.col("word") == F.col("_word"), "left").withColumn("c", F.coalesce("c", F.lit(0)))
-              .groupBy(F.col("doc_id").alias("_id"))
+              .groupBy(F.col("row").alias("_row"))
               .agg(F.sum(F.log10(F.col("c") + SMOOTH)).alias("rest_logs"),
                    F.sum((F.col("c") > 0).cast("long")).alias("rest_known")))
-    whole = scored.groupBy("doc_id").agg(*[F.sum(c).alias(c) for c in ("n_tokens", "n_head", "log_counts", "model")])
     logs = F.coalesce("rest_logs", F.lit(0.0))
     held = F.coalesce(split_group(F.col("doc_id"), FOLDS) == HELD_OUT, F.lit(False))
-    return whole.join(looked, F.col("doc_id").eqNullSafe(F.col("_id")), "left").select(
+    return scored.join(looked, F.col("row") == F.col("_row"), "left").select(
         "doc_id", held.alias("held_out"), "n_tokens",
         (F.col("n_head") + F.coalesce("rest_known", F.lit(0))).alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"),

@@ -144,17 +144,19 @@ def plan_records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
                  payload_col: str = "html") -> DataFrame:
     """Rows with their payload's digest and the page they revisit, if any.
 
-    Equal payloads are found by SHA-1 and length, summed per task before the shuffle; the
-    rows of a hot payload are then looked up in a join that adaptive execution splits.
+    Equal payloads are found by SHA-256, summed per task before the shuffle; the rows of a
+    hot payload are then looked up in a join that adaptive execution splits.  SHA-1, for
+    which collisions are published, is the records' digest only.
     """
     payload = F.coalesce(F.col(f"`{payload_col}`"), F.lit("")).cast("binary")
     rows = pages.select(F.col(f"`{id_col}`").alias("page_id"), F.col(f"`{url_col}`").alias("url"),
                         payload.alias("payload"))
     rows = rows.withColumn("digest", F.sha1("payload")).withColumn("n_bytes", F.octet_length("payload").cast("long"))
-    heads = (rows.filter(F.col("n_bytes") >= REVISIT_BYTES).groupBy("digest", "n_bytes")
-             .agg(F.max("page_id").alias("head"), F.count("*").alias("n")).filter("n > 1")
-             .select(F.col("digest").alias("_digest"), F.col("n_bytes").alias("_n_bytes"), "head"))
-    rows = rows.join(heads, (F.col("digest") == F.col("_digest")) & (F.col("n_bytes") == F.col("_n_bytes")), "left")
+    # null for smaller ones: they meet nothing
+    rows = rows.withColumn("same", F.when(F.col("n_bytes") >= REVISIT_BYTES, F.sha2("payload", 256)))
+    heads = (rows.filter("same is not null").groupBy(F.col("same").alias("_same"))
+             .agg(F.max("page_id").alias("head"), F.count("*").alias("n")).filter("n > 1").select("_same", "head"))
+    rows = rows.join(heads, F.col("same") == F.col("_same"), "left")
     refers = F.when(~F.col("page_id").eqNullSafe(F.col("head")), F.col("head"))
     return rows.select("page_id", "url", "digest", "n_bytes", refers.alias("refers_to"),
                        F.when(refers.isNull(), F.col("payload")).otherwise(F.lit(b"")).alias("payload"))

@@ -48,7 +48,7 @@ def test_every_operator_takes_edge_cases(tables):
     docs, labels = tables
     out = run_all(docs, labels)
     n = len(ROWS)
-    for name in ("toxic", "lines", "near", "exact", "suffix", "mix"):
+    for name in ("toxic", "lines", "near", "exact", "lm", "suffix", "mix"):
         assert len(out[name]) == n, name
     near = {r.doc_id: r for r in out["near"] if r.doc_id is not None}
     assert near[2].component_id == 1 and not near[2].kept and near[8].component_id == 7
@@ -69,6 +69,9 @@ def test_every_operator_takes_edge_cases(tables):
     assert all(r.exact for r in out["pieces"])
     assert {r.n_pieces for r in out["pieces"] if r.doc_id in (3, 4)} == {0}
     scored = {r.doc_id: r for r in out["lm"]}
+    assert sorted(r.n_tokens for r in out["lm"] if r.doc_id is None) == [1, 8]
+    twice = [r for r in out["lm"] if r.doc_id == 9]
+    assert [r.n_tokens for r in twice] == [4, 4] and twice[0].base_score == pytest.approx(twice[1].base_score)
     assert scored[3].n_tokens == scored[4].n_tokens == 1 and scored[1].n_tokens == 8
     assert all((zlib.crc32(str(d).encode()) % 10 == 0) == r.held_out for d, r in scored.items() if d is not None)
     assert all(0 <= r.score <= 1 for r in out["toxic"])
@@ -106,6 +109,22 @@ def test_vectors(spark):
     assert cover.near_vectors(df.limit(0)).count() == 0 and cover.near_vectors(df.filter("vec_id = 4")).count() == 1
 
 
+def test_very_small_and_large_components(spark):
+    rows = [(1, [1e-200, 0.0]), (2, [2e-200, 0.0]), (3, [1e200, 0.0]), (4, [1.0, 0.0]), (5, [5e-324, 0.0]),
+            (6, [1.7e308, 1.7e308]), (7, [1e-300, 1e-300]), (8, [1e-200, 1e200])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    out = {r.vec_id: (r.n_links, r.component_id) for r in cover.near_vectors(df).collect()}
+    assert out == {k: (4, 1) for k in range(1, 6)} | {6: (1, 6), 7: (1, 6), 8: (0, 8)}
+
+
+def test_payloads_with_equal_digests_but_different_bytes(spark, monkeypatch):
+    """Payloads whose SHA-1 collides stay apart."""
+    monkeypatch.setattr(warc.F, "sha1", lambda c: F.lit("0" * 40))
+    df = spark.createDataFrame([(1, "u", "a" * 1500), (2, "u", "b" * 1500), (3, "u", "a" * 1500)],
+                               "page_id long, url string, html string")
+    assert {r.page_id: r.refers_to for r in warc.plan_records(df).collect()} == {1: 3, 2: None, 3: None}
+
+
 def test_pages(spark):
     big = "p" * 1500
     rows = [(1, "u\r\n1", big), (2, None, big), (3, "u", "small"), (4, "u", "small"), (5, "u", None), (6, "é", ""),
