@@ -250,3 +250,35 @@ def test_parts_join_to_the_whole_text(spark):
     assert whole(parts, ["k", "column"], "json") == {
         (r["k"], c): r[c] for r in want.collect() for c in ("v", "d")}
     assert serve.timeline_parts(df.limit(0), "k", fields, "d", ["id"]).count() == 0
+
+
+def _join_depth(plan):
+    below = max([0] + [_join_depth(plan.children().apply(i)) for i in range(plan.children().size())])
+    return below + (plan.nodeName() == "Join")
+
+
+def test_merge_dimensions_in_pairs(spark):
+    """Eight dimensions with null and repeated keys: left joins one by one, but three joins deep."""
+    dims = [(spark.createDataFrame([(k, f"{i}{k}{n}") for k in (1, 2, None) for n in range(1 + (i + (k or 0)) % 2)]
+                                   + [(10 + i, "own")], f"k{i} int, v{i} string").filter(f"k{i} <=> null or k{i} != {i % 3}"),
+             f"k{i}") for i in range(8)]
+    merged = joins.merge_dimensions(dims, "key")
+    assert _join_depth(merged._jdf.queryExecution().optimizedPlan()) == 3
+    want = spark.createDataFrame([(k,) for k in [None, 1, 2, *range(10, 18)]], "key int")
+    for dim, own in dims:
+        want = want.join(dim, want["key"].eqNullSafe(dim[own]), "left")
+    columns = ["key", *[f"v{i}" for i in range(8)]]
+    assert rows(merged.select(columns)) == rows(want.select(columns))
+
+
+def test_whole_rows_move_once(spark):
+    """An order that holds the whole row is the row: no second copy beside it."""
+    df = spark.createDataFrame([(1, "b", 2), (1, "a", 9), (1, "a", 3), (1, None, 5), (2, None, None), (None, "x", 1)],
+                               "k int, a string, b int")
+    first, last = (shape.dedup_by_key(df, "k", ["b"], descending=d) for d in (False, True))
+    folded = shape.fold_rows(df, "k", "a", ["b", "k"])
+    for out in (first, last, folded):
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert "min_by" not in plan and "max_by" not in plan
+    assert rows(first) == rows(spark.createDataFrame([(1, "b", 2), (2, None, None), (None, "x", 1)], df.schema))
+    assert rows(last) == rows(spark.createDataFrame([(1, "a", 9), (2, None, None), (None, "x", 1)], df.schema))
