@@ -243,3 +243,15 @@ def test_resolution_with_near_dates(spark):
     found = resolve_people(profiles, resolve.PersonSpec(near_dates=True))
     ids = {r.provisionalprimarykey: r.passenger_hash for r in found.clusters.collect()}
     assert ids["k1"] == ids["k2"] == ids["k3"] and ids["k4"] != ids["k1"] and ids["k5"] != ids["k6"]
+
+
+def test_quality_metrics_in_one_shuffle_of_people(spark):
+    df = spark.createDataFrame(
+        [("a", "b", "d", "1"), ("a", "b", "d", "2"), ("a", "b", "d", None), ("a", "b", None, "1"), ("a", "b", None, "1"),
+         (None, None, None, None), (None, None, None, "3"), ("c", "d", "e", None)],
+        "FirstName string, LastName string, DateOfBirth string, passenger_hash string")
+    out = identity.quality_metrics(df)
+    assert out.first().asDict() == {"n_rows": 8, "n_people": 4, "n_without_id": 3, "n_ambiguous": 1, "n_ids": 3}
+    assert out._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning(FirstName") == 1
+    assert identity.quality_metrics(df.limit(0)).first().asDict() == {
+        "n_rows": 0, "n_people": 0, "n_without_id": 0, "n_ambiguous": 0, "n_ids": 0}
