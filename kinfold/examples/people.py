@@ -407,7 +407,7 @@ overrides AS (SELECT t.passenger_hash, max(old_id) AS old_id FROM today t
 
 def _carried(spark, sf):
     # Read for the index, the overrides and the result.
-    everyone = assigned(spark, sf).persist(StorageLevel.DISK_ONLY)
+    everyone = assigned(spark, sf).drop("PassengerID", "doc_id").persist(StorageLevel.DISK_ONLY)
     old = identity.identity_index(everyone.filter("source < 'src14'"))
     old = old.withColumn("passenger_hash", F.md5("passenger_hash"))
     return identity.carry_over(everyone.filter("source >= 'src14'"), old)

@@ -255,3 +255,13 @@ def test_quality_metrics_in_one_shuffle_of_people(spark):
     assert out._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning(FirstName") == 1
     assert identity.quality_metrics(df.limit(0)).first().asDict() == {
         "n_rows": 0, "n_people": 0, "n_without_id": 0, "n_ambiguous": 0, "n_ids": 0}
+
+
+def test_carried_rows_hold_what_is_read(spark, tmp_path):
+    from kinfold.examples import people
+    spark.createDataFrame([(1, "ann lee bob ray", "en", "src1"), (2, "ann lee", "en", "src2")],
+                          "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1,)], "doc_id long").write.parquet(f"{tmp_path}/labels.parquet")
+    renewed = people._carried(spark, str(tmp_path))[0]
+    assert not {"PassengerID", "doc_id"} & set(renewed.columns)
+    assert renewed.count() == 1
