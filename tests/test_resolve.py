@@ -265,3 +265,24 @@ def test_carried_rows_hold_what_is_read(spark, tmp_path):
     renewed = people._carried(spark, str(tmp_path))[0]
     assert not {"PassengerID", "doc_id"} & set(renewed.columns)
     assert renewed.count() == 1
+
+
+def test_name_rules_run_in_a_projection(spark):
+    rows = spark.createDataFrame([("a",)], "w string")
+    plan = resolve.once(rows, ["w"], up=F.upper("w"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate inline(array(_made" in plan and plan.count("upper(") == 1
+
+
+def test_rows_are_kept_without_the_group_hash(spark):
+    people = spark.createDataFrame(
+        [("1", "1", "maria", "lopez", "1980-01-01"), ("2", "2", "mario", "lopez", "1980-01-01"),
+         ("0", "0", "maria", "lopez", "1980-01-02"), ("1", "9", "maria", "lopez", "1980-01-02"),
+         ("5", "5", "mario", "lopez", "1980-01-02")],
+        "ProvisionalPrimaryKey string, PassengerID string, FirstName string, LastName string, DateOfBirth string")
+    found = resolve_people(people)
+    assert "group_hash" not in found.held[0].columns
+    block = hashlib.md5(b"MRLPS").hexdigest()
+    # key 1 has two identities and joins both days
+    assert sorted(map(tuple, found.clusters.collect())) == [
+        (block, key, hashlib.md5(b"0").hexdigest()) for key in "0125"]
+    found.release()
