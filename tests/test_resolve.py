@@ -286,3 +286,18 @@ def test_rows_are_kept_without_the_group_hash(spark):
     assert sorted(map(tuple, found.clusters.collect())) == [
         (block, key, hashlib.md5(b"0").hexdigest()) for key in "0125"]
     found.release()
+
+
+@pytest.mark.parametrize("crowd", [1, 2, 1000])
+def test_ambiguous_people_counts_ids_of_few(spark, monkeypatch, crowd):
+    monkeypatch.setattr(identity, "CROWD", crowd)
+    asked = []
+    every = identity.identities_per_person
+    monkeypatch.setattr(identity, "identities_per_person", lambda rows, spec: asked.append(rows) or every(rows, spec))
+    rows = ([("a", None, "d", f"{i % 2}") for i in range(9)] + [("b", "x", None, f"{i}") for i in range(5)]
+            + [("c", "x", "d", f"{i}") for i in range(4)] + [("d", "x", "d", None)] * 3)
+    profiles = spark.createDataFrame(rows, "FirstName string, LastName string, DateOfBirth string, passenger_hash string")
+    got = [tuple(r) for r in identity.ambiguous_people(profiles, top=2).collect()]
+    assert got == [("b", "x", None, 5, 5, 0), ("c", "x", "d", 4, 4, 0)]
+    assert asked[0].count() == (21 if crowd == 1000 else 14)     # the crowd's rows only
+    assert len(asked) == (1 if crowd == 1000 else 2)
