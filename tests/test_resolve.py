@@ -301,3 +301,13 @@ def test_ambiguous_people_counts_ids_of_few(spark, monkeypatch, crowd):
     assert got == [("b", "x", None, 5, 5, 0), ("c", "x", "d", 4, 4, 0)]
     assert asked[0].count() == (21 if crowd == 1000 else 14)     # the crowd's rows only
     assert len(asked) == (1 if crowd == 1000 else 2)
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_marks_of_spellings_are_stored_once(spark):
+    vocab = spark.createDataFrame([("P", "maria"), ("P", "marian"), ("P", "maria")], "blk string, name string")
+    plan = plan_of(resolve.similar_spellings(vocab, "blk", "name", 0.85))
+    assert "array_sort" not in plan and "array_position" not in plan
