@@ -286,7 +286,10 @@ def similar_spellings(spark, sf):
 SELECT p_first, p_last, dob, first, last, first_right, last_right, first_score, last_score
 FROM pairs""")
 def score_pairs(spark, sf):
-    return resolve.matched_pairs(nodes(spark, sf).persist(StorageLevel.DISK_ONLY)).select(
+    # As in the stage: who has no partner in the block never meets the spelling joins.
+    everyone = nodes(spark, sf).persist(StorageLevel.DISK_ONLY)
+    paired = resolve.has_partner(everyone).persist(StorageLevel.DISK_ONLY)
+    return resolve.matched_pairs(paired).select(
         "p_first", "p_last", "dob", "first", "last", "first_right", "last_right",
         "first_score", "last_score")
 

@@ -311,3 +311,22 @@ def test_marks_of_spellings_are_stored_once(spark):
     vocab = spark.createDataFrame([("P", "maria"), ("P", "marian"), ("P", "maria")], "blk string, name string")
     plan = plan_of(resolve.similar_spellings(vocab, "blk", "name", 0.85))
     assert "array_sort" not in plan and "array_position" not in plan
+
+
+def test_every_spelling_pair_is_scored_once(spark):
+    nodes = spark.createDataFrame(
+        [("P", "Q", "1980-01-01", "h", f, "lopez", k, k) for k, f in (("1", "maria"), ("2", "marian"), ("3", "jo"))],
+        "p_first string, p_last string, dob string, group_hash string, first string, last string, member string, rep string")
+    pairs = resolve.matched_pairs(nodes)
+    assert plan_of(pairs).count("ArrowEvalPython") + plan_of(pairs).count("BatchEvalPython") == 2
+    assert [(r["first"], r["first_right"]) for r in pairs.collect()] == [("maria", "marian")]
+
+
+def test_score_pairs_leaves_out_who_has_no_partner(spark, tmp_path):
+    from kinfold.examples import people
+    spark.createDataFrame([(1, "Maria Lopez Mario Lopez Uwe Kranz", "en", "a"), (2, None, "en", "a")],
+                          "doc_id long, text string, lang string, source string").write.parquet(
+        str(tmp_path / "documents.parquet"))
+    pairs = people.score_pairs(spark, str(tmp_path))
+    assert "LeftSemi" in spark._jvm.PythonSQLUtils.explainString(pairs._jdf.queryExecution(), "extended")
+    assert [(r["first"], r["first_right"]) for r in pairs.collect()] == [("maria", "mario")]
