@@ -1,13 +1,14 @@
 import hashlib
 import itertools
 import random
+from functools import partial
 
 import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from kinfold.functions import dates
-from kinfold.operators import identity, resolve
+from kinfold.operators import identity, joins, resolve
 from kinfold.plans.people import fill_birth_dates, resolve_people, unify_profiles
 
 JW = duckdb.connect()
@@ -330,3 +331,40 @@ def test_score_pairs_leaves_out_who_has_no_partner(spark, tmp_path):
     pairs = people.score_pairs(spark, str(tmp_path))
     assert "LeftSemi" in spark._jvm.PythonSQLUtils.explainString(pairs._jdf.queryExecution(), "extended")
     assert [(r["first"], r["first_right"]) for r in pairs.collect()] == [("maria", "mario")]
+
+
+def test_identity_by_hashes_without_counting_names(spark, monkeypatch):
+    rnd = random.Random(5)
+    names = ["Ann", "ANN", "Bo", "", None]
+    people = [(f"k{i % 900}" if i % 50 else None, "Hot" if i % 2 else rnd.choice(names), rnd.choice(names),
+               rnd.choice(["1980-01-01", None])) for i in range(1000)]
+    ids = [(f"k{i}", rnd.choice([f"id{i}", None])) for i in range(0, 900, 3)] * 2
+    rows = spark.createDataFrame(people, "ProvisionalPrimaryKey string, FirstName string, LastName string, DateOfBirth string")
+    clusters = spark.createDataFrame(ids, "provisionalprimarykey string, passenger_hash string")
+
+    def fold(f, last, d):
+        return ((f or "Unknown") if f is None else f.lower(), "Unknown" if last is None else last.lower(), d or "None")
+    best: dict = {}
+    for key, *person in people:
+        for k, h in ids:
+            if key == k and h is not None:
+                best[fold(*person)] = max(h, best.get(fold(*person), ""))
+    null = identity.fixed.NULL_TOKEN
+    want = sorted((str(k), str(best.get(fold(f, last, d)) or hashlib.md5("_".join(
+        [*fold(f, last, d)[:2], d or null]).encode()).hexdigest())) for k, f, last, d in people)
+
+    def refuse(*_, **__):
+        raise AssertionError("a pass over all rows counts names")
+    monkeypatch.setattr(joins, "heavy_keys", refuse)
+    short = partial(joins.attach_hashed, rows_per_salt=20)      # some names are salted
+    for attach in (joins.attach_hashed, short):
+        monkeypatch.setattr(identity, "attach_hashed", attach)
+        out = identity.assign_identity(rows, clusters)
+        assert sorted((str(r["ProvisionalPrimaryKey"]), r["passenger_hash"]) for r in out.collect()) == want
+
+
+@pytest.mark.parametrize("kind", ["string", "bigint"])
+def test_join_hashed_equals_plain(spark, kind):
+    left = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d")], "k bigint, x string")
+    right = spark.createDataFrame([("1", 5), ("1", 6), ("3", 7), (None, 8)], "k string, y int").withColumn("k", F.col("k").cast(kind))
+    assert sorted(joins.join_hashed(left, right, "k").collect()) == sorted(left.join(right, "k").collect())
