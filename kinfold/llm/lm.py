@@ -105,11 +105,19 @@ class Lexicon:
     def places(self) -> Head:
         return Head((w, i) for i, w in enumerate(self.words))
 
+    def own(self) -> dict[bytes, int]:
+        """The model's own words -> their model words; few, so a look-up is cheaper than a place."""
+        return {w: m for w, m in zip(self.words, self.model.tolist()) if m != gru.UNK}
+
 
 def _tokens(texts: list[str]) -> tuple[list[bytes], np.ndarray]:
     """All tokens of some texts in a row, each text's END included, and tokens per text."""
-    rows = [[*words(t), END] for t in texts]
-    return list(itertools.chain.from_iterable(rows)), np.fromiter(map(len, rows), np.int64, len(rows))
+    tokens, ends = [], []
+    for text in texts:
+        tokens += words(text)
+        tokens.append(END)
+        ends.append(len(tokens))
+    return tokens, np.diff(np.array(ends, np.int64), prepend=0)
 
 
 def train(docs: DataFrame, lexicon, flat: np.ndarray, rate: float, passes: int) -> np.ndarray:
@@ -119,12 +127,12 @@ def train(docs: DataFrame, lexicon, flat: np.ndarray, rate: float, passes: int)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lex, start = given.value
-        place = lex.places()
+        own = lex.own()
         trainer = gru.Trainer(gru.Model(start), rate)
         for batch in batches:
             for first in range(0, batch.num_rows, SLICE):
                 tokens, _ = _tokens(batch.column(1).slice(first, SLICE).to_pylist())
-                sequence = lex.model[np.fromiter(map(place.__getitem__, tokens), np.int64, len(tokens))]
+                sequence = np.fromiter(map(own.get, tokens, itertools.repeat(gru.UNK)), np.int64, len(tokens))
                 for _ in range(passes):
                     trainer.feed(sequence)
         if trainer.tokens:

@@ -2,6 +2,7 @@
 
 import math
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -429,6 +430,31 @@ def test_the_model_grows_with_the_vocabulary():
     assert all(gru.Model(side=n).side == gru.Model(gru.Model(side=n).flat).side == n for n in range(1, 450, 7))
 
 
+def test_a_gradient_takes_little_new_room():
+    """Room is used again from window to window, and what it held before does not matter."""
+    model = gru.Model.start(np.arange(gru.CLASSES * gru.MEMBERS, dtype=float) + 1)
+    rng = np.random.default_rng(1)
+    windows = [(rng.integers(0, n, (gru.WINDOW, gru.STREAMS)), rng.integers(0, n, (gru.WINDOW, gru.STREAMS))) for n in (1296, 30, 1296)]
+    h = rng.normal(0, 0.5, (gru.STREAMS, gru.HIDDEN)).astype(np.float32)
+    g = gru.Model()
+    for inputs, targets in windows:
+        fresh, state, loss = gru.Model(model.flat).gradient(inputs, targets, h)
+        tracemalloc.start()
+        again = model.gradient(inputs, targets, h, True, g)
+        used = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert (again[0].flat == fresh.flat).all() and (again[1] == state).all() and again[2] == loss
+    assert used < 1 << 20        # 5.8 MB (10**6 bytes) before
+
+
+def test_own_words_without_their_places():
+    lexicon = lm.Lexicon([(b"", 50)] + [(b"w%d" % i, 9000 - i) for i in range(3000)], 10**8, 3001)
+    own, place = lexicon.own(), lexicon.places()
+    words = [b"", b"w0", b"w1293", b"w1294", b"w2999", b"none"]
+    assert [own.get(w, gru.UNK) for w in words] == lexicon.model[[place[w] for w in words]].tolist()
+    assert len(own) == lexicon.n_own
+
+
 def test_chunks_of_parameters_meet_again(spark, monkeypatch):
     """The average over partitions does not depend on how the vector is cut."""
     docs = documents(spark, [" ".join(f"w{(i * j) % 50}" for j in range(60)) for i in range(40)]).repartition(3, "doc_id")
