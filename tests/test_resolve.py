@@ -368,3 +368,16 @@ def test_join_hashed_equals_plain(spark, kind):
     left = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d")], "k bigint, x string")
     right = spark.createDataFrame([("1", 5), ("1", 6), ("3", 7), (None, 8)], "k string, y int").withColumn("k", F.col("k").cast(kind))
     assert sorted(joins.join_hashed(left, right, "k").collect()) == sorted(left.join(right, "k").collect())
+
+
+def test_name_rules_of_the_index_run_once_per_person(spark):
+    people = [("k1", "Maria", "Lopez", "1980-01-01", "i1"), ("k2", "Maria", "Lopez", "1980-01-01", "i1"),
+              ("k3", "Maria", "Lopez", "1980-01-01", "i2"), (None, "MARIA", "Lopez", "1980-01-01", "i1"),
+              ("k5", None, "Lopez", "1980-01-01", "i1"), ("k6", "Maria", "Lopez", None, "i1"), ("k7", "Maria", "Lopez", "1980-01-01", None)]
+    profiles = spark.createDataFrame(people, "ProvisionalPrimaryKey string, FirstName string, LastName string, DateOfBirth string, passenger_hash string")
+    index = identity.identity_index(profiles)
+    by_row = identity.index_rows(profiles).drop("ProvisionalPrimaryKey")
+    assert sorted(map(str, index.collect())) == sorted({str(r) for r in by_row.collect()}) and index.count() == 3
+    assert index.columns == by_row.columns and index.schema == by_row.schema
+    plan = plan_of(index)
+    assert plan.count("Aggregate") == 2 and plan.rindex("Aggregate") > plan.rindex("Generate")     # below the rules
