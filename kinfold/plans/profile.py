@@ -12,6 +12,7 @@ from ..functions.attributes import map_attributes
 from ..functions.dates import local_date, until_yesterday
 from ..functions.text import digits_only, email_key
 from ..operators import joins, shape
+from ..session import discard, stored
 
 Frames = Mapping[str, DataFrame]
 
@@ -102,9 +103,10 @@ def source_columns(config: Mapping) -> dict[str, list[str]]:
 
 BOOKING = "all_booking_BookingID"
 PASSENGER = "all_bookingpassenger_PassengerID"
+PASSENGER_ENTITY = "all_bookingpassenger"
 PERSON = "all_person_PersonID"
 # (entity, left key, right key); steps with one left key stand together so that
-# the wide side is exchanged once per key.
+# the rows are exchanged once per key.
 STAR = [
     ("all_bookingpassenger", BOOKING, "BookingID"),
     ("all_payment", BOOKING, "BookingID"),
@@ -130,29 +132,25 @@ STAR = [
 def join_entities(frames: Frames, star=STAR) -> DataFrame:
     """Bookings full outer agents, then the left-join star.
 
-    An agent may have made a third of all bookings, and bookings without an agent share the
-    null key.  So the tables of a person are joined with each other first, likewise those of
-    a passenger, and the wide side looks each of the two up in one salted join.  The heavy
-    keys are counted in the booking table, not in the wide rows.
+    What hangs on a person is joined to the agents first, and what hangs on a passenger to
+    the booking's passengers: short rows move there, and each such table is stored, so that
+    its shuffle files go.  The bookings then look up the agents in one salted join (an agent
+    may have made a third of all bookings), and the passengers with the tables of a booking.
     """
     wide = {name: shape.prefix_columns(df, name) for name, df in frames.items()}
-    bookings, agents = wide["all_booking"], wide["all_agent"]
+    bookings, agents, passengers = wide["all_booking"], wide["all_agent"], wide[PASSENGER_ENTITY]
     user, agent = "all_booking_CreatedUserID", "all_agent_AgentID"
-    heavy = joins.heavy_keys(bookings, user, joins.SALTED_KEYS, joins.ROWS_PER_SALT)
-    base = joins.full_outer(bookings, agents, user, agent, heavy=heavy)
-
     steps = [(wide[name], left, f"{name}_{right}") for name, left, right in star]
-    by_booking = [s for s in steps if s[1] == BOOKING]
-    base = joins.star_join(base, by_booking)
-    persons = heavy.join(agents, heavy[user] == agents[agent]).select("all_agent_PersonID", "n_rows")
-    for left_key in dict.fromkeys(s[1] for s in steps if s[1] != BOOKING):
-        dims = [(dim, right) for dim, left, right in steps if left == left_key]
-        keys = joins.null_key(dims[0][0], dims[0][1], left_key)
-        if left_key != PASSENGER:
-            keys = keys.unionByName(persons.withColumnRenamed("all_agent_PersonID", left_key))
-        base = joins.salted_join(base, joins.merge_dimensions(dims, "_looked_up"), left_key, "_looked_up",
-                                 "left", null_safe=True, heavy=keys).drop("_looked_up")
-    return base
+
+    persons = stored(joins.widen(agents, [s for s in steps if s[1] not in (BOOKING, PASSENGER)]))
+    travellers = stored(joins.widen(passengers, [s for s in steps if s[1] == PASSENGER]))
+    heavy = joins.heavy_keys(bookings, user, joins.SALTED_KEYS, joins.ROWS_PER_SALT)
+    base = joins.look_up_widened(
+        bookings, persons, lambda b, p: joins.full_outer(b, p, user, agent, heavy=heavy), agents.columns)
+    base = joins.star_join(base, [s for s in steps if s[1] == BOOKING and s[0] is not passengers])
+    key = f"{PASSENGER_ENTITY}_BookingID"
+    return joins.look_up_widened(
+        base, travellers, lambda b, p: joins.star_join(b, [(p, BOOKING, key)]), passengers.columns)
 
 
 def collapse(mapped: DataFrame, config: Mapping, on_null_key: str = "merge") -> DataFrame:
@@ -226,26 +224,57 @@ def revenue_in_home_currency(profiles: DataFrame, history: DataFrame,
     return joins.convert_revenue(out.drop("_local_day"), home)
 
 
+def settle(profiles: DataFrame, frames: Frames, registered: DataFrame | None = None, as_of: Column | None = None,
+           excluded_status: int | None = None) -> DataFrame:
+    """Registered columns, voucher flag and exclusions, then one row per passenger."""
+    if registered is not None:
+        profiles = enrich_registered(profiles, registered)
+    profiles = flag_vouchers(profiles, frames, as_of)
+    profiles = exclude_voucher_records(profiles, frames)
+    if excluded_status is not None:
+        profiles = exclude_status(profiles, excluded_status)
+    return shape.dedup_by_key(profiles, "PassengerID", ["ProvisionalPrimaryKey"])
+
+
+def settle_by_row(golden: DataFrame, frames: Frames, registered: DataFrame | None = None, as_of: Column | None = None,
+                  excluded_status: int | None = None) -> DataFrame:
+    """`settle` on the columns it reads; the rows it keeps are looked up in the stored ones.
+
+    So whole rows move once, not once per step.  Only for records whose ProvisionalPrimaryKey
+    differs in every row: else whole rows decide which of two rows a passenger keeps.
+    """
+    golden = stored(golden.withColumn("_row", F.monotonically_increasing_id()))
+    read = ["BookingID", "PassengerID", "ProvisionalPrimaryKey"]
+    read += [] if registered is None else ["BookerEmailAddress", "IsRegistered"]
+    read += [] if excluded_status is None else ["Status"]
+    kept = settle(golden.select("_row", *read), frames, registered, as_of, excluded_status)
+    new = [c for c in kept.columns if c not in golden.columns]
+    if registered is not None:
+        golden = golden.withColumn("BookerEmailAddress", email_key(F.col("BookerEmailAddress")))
+    others = [c for c in golden.columns if c not in ("_row", "BookingID")]
+    return golden.join(kept.select("_row", *new), "_row").select("BookingID", *others, *new)
+
+
 def build_profiles(frames: Frames, config: Mapping, registered: DataFrame | None = None, *,
                    as_of: Column | None = None, on_null_key: str = "merge",
                    history: DataFrame | None = None, excluded_status: int | None = None) -> DataFrame:
     """The whole stage over already loaded entity tables.
 
     With a conversion `history` revenue is in the home currency; `excluded_status` drops
-    profiles of that booking status.
+    profiles of that booking status.  Joined rows and golden records are stored, so that the
+    shuffle files of one step are gone in the next.
     """
     raw = shape.apply_predicates(frames)
     tables = fold_entities(derive_tables(raw), needed=shape.required_columns(config))
     mapped = map_attributes(join_entities(tables), config["attributeMapping"],
                             config.get("columnMapping", ()))
-    profiles = collapse(mapped, config, on_null_key)
-    if registered is not None:
-        profiles = enrich_registered(profiles, registered)
-    profiles = flag_vouchers(profiles, raw, as_of)
-    profiles = exclude_voucher_records(profiles, raw)
-    if excluded_status is not None:
-        profiles = exclude_status(profiles, excluded_status)
-    profiles = shape.dedup_by_key(profiles, "PassengerID", ["ProvisionalPrimaryKey"])
+    mapped = stored(mapped.select(*shape.declared_columns(config["profileSchema"])))
+    golden = collapse(mapped, config, on_null_key)
+    key_default = {c["columnName"]: c.get("defaultValue") for c in config["profileSchema"]}.get("ProvisionalPrimaryKey")
+    one_per_key = on_null_key != "keep" and key_default is None
+    profiles = (settle_by_row if one_per_key else settle)(golden, raw, registered, as_of, excluded_status)
+    if one_per_key:
+        discard(mapped)
     return profiles if history is None else revenue_in_home_currency(profiles, history)
 
 

@@ -1,6 +1,7 @@
 """Partitioned sources, sinks and the four stages on disk."""
 
 import copy
+import datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -289,3 +290,60 @@ def test_serving_in_parts_and_by_day(spark, tmp_path):
     near = serve.milestones_of(read["daily_milestones"], list(serving.MILESTONES)).first()
     assert all(abs(near[n] - exact[n]) <= 0.04 * exact[n] + 1 for n in serving.MILESTONES)
     rows.unpersist()
+
+
+@pytest.mark.parametrize("nulls", [True, False])
+def test_widened_parents_equal_a_star(spark, nulls):
+    """Rows without a parent, or whose parent has no key, meet the dimensions' null keys."""
+    from kinfold.operators import joins
+    from kinfold.session import stored
+    rows = [(1, 10), (1, 11), (2, 10), (3, None), (None, 12)]
+    base = spark.createDataFrame([(i, k) for i, k in enumerate([1, 1, 2, 3, 4, None])], "i int, k int")
+    parent = spark.createDataFrame(rows, "p int, j int")
+    a = spark.createDataFrame([(10, "a"), (10, "aa"), (11, "b")] + [(None, "an"), (None, "ann")] * nulls, "ja int, a string")
+    b = spark.createDataFrame([(12, "x"), (10, "y")] + [(None, "bn")] * nulls, "jb int, b string")
+    star = joins.star_join(base, [(parent, "k", "p"), (a, "j", "ja"), (b, "j", "jb")])
+    widened = stored(joins.widen(parent, [(a, "j", "ja"), (b, "j", "jb")]))
+    got = joins.look_up_widened(base, widened, lambda x, y: joins.star_join(x, [(y, "k", "p")]), parent.columns)
+    assert got.columns == star.columns
+    assert sorted(map(str, got.collect())) == sorted(map(str, star.collect()))
+
+
+def test_profiles_leave_few_shuffle_files(spark):
+    """Of the joins that make the profiles nothing but stored tables is left."""
+    import os
+    root = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles
+    shuffles = lambda: sum(f.length() for f in _java_seq(spark, root()) if f.getName().startswith("shuffle_"))
+    before = shuffles()
+    built = travel.profile.build_profiles(travel.entities(spark, SF), travel.CONFIG, as_of=F.lit("2001-01-01").cast("date"))
+    assert shuffles() <= before
+    assert os.path.exists(SF) and built.count() > 0
+
+
+def _java_seq(spark, seq):
+    items = spark.sparkContext._jvm.scala.jdk.javaapi.CollectionConverters.asJava(seq)
+    return list(items)
+
+
+def test_settling_by_row_equals_settling_whole_rows(spark):
+    """One of a passenger's records stays, a registered address may repeat, flags come along."""
+    golden = spark.createDataFrame(
+        [("7_1", 7, 70, "A@x", "Yes", "f"), ("7_2", 7, 71, "b@x", "No", "g"), ("8_1", 8, 72, "a@x", "Yes", None),
+         (None, 9, 73, "a@x", "No", "h"), ("9_5", None, 74, None, "No", "i"), ("10_1", 10, 75, "c@x", "Yes", "j")],
+        "ProvisionalPrimaryKey string, PassengerID long, BookingID long, BookerEmailAddress string, "
+        "IsRegistered string, FirstName string")
+    registered = spark.createDataFrame([("a@X", 2.0), ("A@x", 1.0), ("b@x", 5.0)], "email string, balance double")
+    frames = {
+        "all_booking": spark.createDataFrame(
+            [(b, f"L{b}", 2, datetime.datetime(2020, 1, 1)) for b in range(70, 76)],
+            "BookingID long, RecordLocator string, Status int, BookingUTC timestamp"),
+        "all_bookingpassenger": spark.createDataFrame([(70, 7)], "BookingID long, PassengerID long"),
+        "all_payment": spark.createDataFrame([(72, "VO", 4, "1")],
+                                             "BookingID long, PaymentMethodCode string, AuthorizationStatus int, AccountNumber string"),
+        "all_voucher": spark.createDataFrame([("1", "L75", 5.0, 1.0, travel.fixed.VOUCHER_BASIS_CODES[0], 1)],
+                                             "VoucherReference string, RecordLocator string, Amount double, Available double, "
+                                             "voucherbasiscode string, status int")}
+    whole = travel.profile.settle(golden, frames, registered)
+    got = travel.profile.settle_by_row(golden, frames, registered)
+    assert got.columns == whole.columns and got.count() == 4
+    assert sorted(map(str, got.collect())) == sorted(map(str, whole.collect()))
