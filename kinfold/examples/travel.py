@@ -7,7 +7,6 @@ the check SQL starts from the very same rows.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from .. import fixed
@@ -15,6 +14,7 @@ from ..functions.attributes import map_attributes
 from ..operators.shape import apply_predicates, required_columns
 from ..plans import profile, serving
 from ..plans.people import unify_profiles
+from ..session import stored
 from .tables import derive_all, plain
 
 QUERIES: dict = {}
@@ -380,7 +380,7 @@ def attribute_mapping(spark, sf):
 
 def serving_input(spark, sf):
     """Profiles with the identity and name columns the serving tables expect."""
-    rows = profiles(spark, sf)
+    rows = stored(profiles(spark, sf))
     named = {"MiddleName": F.lit(None).cast("string"), "HonorificPrefix": F.lit("Ms"),
              "HonorificSuffix": F.lit(""), "EmailAddress": F.col("BookerEmailAddress"),
              "Gender": F.when(F.col("TravelOrigin") == "O1", "F").otherwise("M"),
@@ -402,7 +402,7 @@ def serving_rows(spark, sf):
     rows = serving.serving_rows(serving_input(spark, sf), F.lit(AS_OF).cast("date"), RATES)
     rows = rows.withColumn("New_Revenue", F.col("New_Revenue").cast("decimal(18,3)"))
     # Statistics, histograms and timelines all start from these rows.
-    return rows.persist(StorageLevel.DISK_ONLY)
+    return stored(rows)
 
 
 _BANDS = " ".join(f"WHEN a BETWEEN {n} AND {n + 9} THEN '{n}_to_{n + 9}'" for n in range(1, 100, 10))
