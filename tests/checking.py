@@ -52,3 +52,17 @@ def compare(df, con, sql):
     wrong = [(g, w) for g, w in zip(got, want) if g != w]
     assert not wrong, f"{len(wrong)} rows differ, first {wrong[:2]}"
     return len(got)
+
+
+def shuffles_left(spark):
+    """Numbers of the shuffles whose files lie on this machine's disk."""
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    names = [f.getName() for f in spark.sparkContext._jvm.scala.jdk.javaapi.CollectionConverters.asJava(manager.getAllFiles())]
+    return {n.split("_")[1] for n in names if n.startswith("shuffle_")}
+
+
+def leaves(spark, make):
+    """How many shuffles still have files when `make()` has been written to nowhere."""
+    before = shuffles_left(spark)
+    make().write.format("noop").mode("overwrite").save()
+    return len(shuffles_left(spark) - before)

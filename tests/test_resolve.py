@@ -5,8 +5,10 @@ from functools import partial
 
 import duckdb
 import pytest
+from checking import leaves
 from pyspark.sql import functions as F
 
+from kinfold.examples import people
 from kinfold.functions import dates
 from kinfold.operators import identity, joins, resolve
 from kinfold.plans.people import fill_birth_dates, resolve_people, unify_profiles
@@ -381,3 +383,33 @@ def test_name_rules_of_the_index_run_once_per_person(spark):
     assert index.columns == by_row.columns and index.schema == by_row.schema
     plan = plan_of(index)
     assert plan.count("Aggregate") == 2 and plan.rindex("Aggregate") > plan.rindex("Generate")     # below the rules
+
+
+@pytest.mark.parametrize("query, most", [("unify_people", 4), ("score_pairs", 12), ("new_identities", 9)])
+def test_people_leave_few_shuffle_files(spark, query, most):
+    """What earlier steps shuffled is gone from the disk when the last one runs."""
+    assert leaves(spark, lambda: people.QUERIES[query][0](spark, "/root/testdata/sf0.001")) <= most
+
+
+def test_attach_hashed_finds_its_heavy_keys(spark):
+    """Without a list the keys are counted by hash; keys may be expressions over the left rows."""
+    left = spark.createDataFrame([("A" if i % 3 else "b", i) for i in range(90)] + [(None, 90), ("z", 91)], "k string, i int")
+    right = spark.createDataFrame([("a", 1), ("b", 2), ("q", 3), (None, 4)], "low string, n int")
+    got = joins.attach_hashed(left, right, {"low": F.lower("k")}, rows_per_salt=20)
+    want = left.join(right, F.lower("k") == F.col("low"), "left").drop("low")
+    assert got.columns == want.columns
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_clusters_of_repeated_keys(spark):
+    """A key with two identities links them; equal rows give one row, empty names none."""
+    rows = [("1", "maria", "reyes"), ("1", "maria", "reyes"), ("2", "mariia", "reyes"), ("3", "berta", "ruiz"),
+            ("3", "berto", "ruiz"), ("4", "berto", "ruiz"), ("5", "", "ruiz"), ("6", "carla", "soto")]
+    df = spark.createDataFrame([(k, k, f, last, None) for k, f, last in rows],
+                               "ProvisionalPrimaryKey string, PassengerID string, FirstName string, LastName string, DateOfBirth string")
+    found = resolve_people(df)
+    got = [(r.provisionalprimarykey, r.passenger_hash) for r in found.clusters.collect()]
+    found.release()
+    ids = dict(got)
+    assert len(got) == len(set(got)) and "5" not in ids and "6" not in ids
+    assert ids["1"] == ids["2"] and ids["3"] == ids["4"] != ids["1"]

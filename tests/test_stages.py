@@ -4,6 +4,7 @@ import copy
 import datetime
 
 import pytest
+from checking import leaves
 from pyspark.sql import functions as F
 
 from kinfold.examples import travel
@@ -310,19 +311,11 @@ def test_widened_parents_equal_a_star(spark, nulls):
 
 
 def test_profiles_leave_few_shuffle_files(spark):
-    """Of the joins that make the profiles nothing but stored tables is left."""
-    import os
-    root = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles
-    shuffles = lambda: sum(f.length() for f in _java_seq(spark, root()) if f.getName().startswith("shuffle_"))
-    before = shuffles()
-    built = travel.profile.build_profiles(travel.entities(spark, SF), travel.CONFIG, as_of=F.lit("2001-01-01").cast("date"))
-    assert shuffles() <= before
-    assert os.path.exists(SF) and built.count() > 0
-
-
-def _java_seq(spark, seq):
-    items = spark.sparkContext._jvm.scala.jdk.javaapi.CollectionConverters.asJava(seq)
-    return list(items)
+    """Of the joins that make the profiles stored tables are left, not their shuffle files."""
+    as_of = F.lit("2001-01-01").cast("date")
+    built = lambda: travel.profile.build_profiles(travel.entities(spark, SF), travel.CONFIG, as_of=as_of)
+    assert leaves(spark, built) <= 12
+    assert leaves(spark, lambda: travel.revenue_breakdown(spark, SF)) <= 6
 
 
 def test_settling_by_row_equals_settling_whole_rows(spark):
