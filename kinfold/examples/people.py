@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import re
 
-from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from .. import fixed
@@ -17,6 +16,7 @@ from ..functions import dates, scripts, text
 from ..operators import identity, resolve
 
 from ..plans import people as stages
+from ..session import discard, stored
 from .tables import spread, table
 
 QUERIES: dict = {}
@@ -287,8 +287,9 @@ SELECT p_first, p_last, dob, first, last, first_right, last_right, first_score,
 FROM pairs""")
 def score_pairs(spark, sf):
     # As in the stage: who has no partner in the block never meets the spelling joins.
-    everyone = nodes(spark, sf).persist(StorageLevel.DISK_ONLY)
-    paired = resolve.has_partner(everyone).persist(StorageLevel.DISK_ONLY)
+    everyone = stored(nodes(spark, sf).drop("group_hash"))
+    paired = stored(resolve.has_partner(everyone))
+    discard(everyone)
     return resolve.matched_pairs(paired).select(
         "p_first", "p_last", "dob", "first", "last", "first_right", "last_right",
         "first_score", "last_score")
@@ -396,7 +397,9 @@ observed AS MATERIALIZED (SELECT * FROM (SELECT key, source, CASE WHEN dob LIKE
 SELECT DISTINCT pf AS pFirstName, pl AS pLastName, dob AS DateOfBirth, passenger_hash
 FROM observed""")
 def identity_index(spark, sf):
-    return identity.identity_index(assigned(spark, sf))
+    # As in the stage: from stored rows, when the shuffle files of the assignment are gone.
+    everyone = assigned(spark, sf).select("FirstName", "LastName", "DateOfBirth", "passenger_hash")
+    return identity.identity_index(stored(everyone))
 
 
 # Earlier run: the sources below 'src14' (text order); today's run: the others.
@@ -410,7 +413,7 @@ overrides AS (SELECT t.passenger_hash, max(old_id) AS old_id FROM today t
 
 def _carried(spark, sf):
     # Read for the index, the overrides and the result.
-    everyone = assigned(spark, sf).drop("PassengerID", "doc_id").persist(StorageLevel.DISK_ONLY)
+    everyone = stored(assigned(spark, sf).drop("PassengerID", "doc_id"))
     old = identity.identity_index(everyone.filter("source < 'src14'"))
     old = old.withColumn("passenger_hash", F.md5("passenger_hash"))
     return identity.carry_over(everyone.filter("source >= 'src14'"), old)
@@ -469,6 +472,8 @@ SELECT key, coalesce(max(h) OVER (PARTITION BY f, l, dob),
 def unify_people(spark, sf):
     """Resolution and assignment end to end."""
     rows = mentions(spark, sf)
-    clusters = stages.resolve_people(rows).clusters.checkpoint()
+    found = stages.resolve_people(rows)
+    clusters = stored(found.clusters)
+    found.release()
     return stages.unify_profiles(rows, clusters).profiles.select(
         F.col("ProvisionalPrimaryKey").alias("key"), "passenger_hash")
